@@ -10,6 +10,8 @@ from sparkassay.operators.evaluate import evaluate
 from sparkassay.operators.folds import stratified_folds
 from sparkassay.operators.selection import rank_scores
 from sparkassay.roles import Roles
+from sparkassay.session import scratch_path
+from sparkassay.sources.sinks import write_folds
 
 ROLES = Roles("class", "inst_id", "match_id", "fold")
 K = 5
@@ -45,15 +47,40 @@ def feat(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def fold(spark: SparkSession, sf: str) -> DataFrame:
+_STORED: dict[tuple, str] = {}
+
+
+def stored(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
+    """A derived table written once per application to the shared folder, as the analysis itself does."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _STORED:
+        path = scratch_path(spark, name)
+        df = build(spark, sf)
+        if "fold" in df.columns and name == "fold":
+            write_folds(df, path)
+        else:
+            df.write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
+def forget() -> None:
+    _STORED.clear()
+
+
+def fold_plan(spark: SparkSession, sf: str) -> DataFrame:
     return stratified_folds(drop_missing_class(feat(spark, sf), ROLES), K, 42, ROLES)
 
 
+def fold(spark: SparkSession, sf: str) -> DataFrame:
+    return stored(spark, sf, "fold", fold_plan)
+
+
 def pred(spark: SparkSession, sf: str) -> DataFrame:
     """Scores of three make-believe algorithms on two data sets, every row scored by each."""
     setups = [
         ("full", "A", 1, 4), ("full", "B", 2, 2), ("full", "C", 3, 0),
-        ("reduced", "A", 4, 3), ("reduced", "B", 5, 2), ("reduced", "C", 6, 1),
+        ("reduced", "A", 4, 4), ("reduced", "B", 5, 0), ("reduced", "C", 6, 2),
     ]
     setup = F.array(*[
         F.struct(F.lit(d).alias("dataset"), F.lit(a).alias("algorithm"), F.lit(s).alias("s"), F.lit(w).alias("w"))
@@ -68,11 +95,19 @@ def pred(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def perf(spark: SparkSession, sf: str) -> DataFrame:
+def perf_plan(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate(pred(spark, sf), groups=6 * K)
 
 
+def perf(spark: SparkSession, sf: str) -> DataFrame:
+    return stored(spark, sf, "perf", perf_plan)
+
+
 def fi(spark: SparkSession, sf: str) -> DataFrame:
+    return stored(spark, sf, "fi", fi_plan)
+
+
+def fi_plan(spark: SparkSession, sf: str) -> DataFrame:
     """Standardised class difference of each feature in each fold, signed per algorithm."""
     rows = fold(spark, sf).select(
         "fold", "class", *[F.col(f).cast("double").alias(f) for f in FEATURES]

@@ -167,7 +167,7 @@ QUERIES = {
     "e2_random_folds": lambda s, d: keys_of(
         folds.random_folds(clean.drop_missing_class(fx.feat(s, d), ROLES), K, 42, ROLES)
     ),
-    "e3_stratified_folds": lambda s, d: fx.fold(s, d).select("inst_id", "class", "fold"),
+    "e3_stratified_folds": lambda s, d: fx.fold_plan(s, d).select("inst_id", "class", "fold"),
     "e4_matched_folds": lambda s, d: keys_of(
         folds.matched_folds(clean.drop_missing_class(fx.feat(s, d), ROLES), K, 42, ROLES)
     ),

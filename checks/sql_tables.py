@@ -37,7 +37,7 @@ train AS (SELECT idx.cv, lng.* FROM lng JOIN idx ON lng.fold <> idx.cv)"""
 
 PRED = """
 setup(dataset, algorithm, s, w) AS (VALUES ('full', 'A', 1, 4), ('full', 'B', 2, 2), ('full', 'C', 3, 0),
-  ('reduced', 'A', 4, 3), ('reduced', 'B', 5, 2), ('reduced', 'C', 6, 1)),
+  ('reduced', 'A', 4, 4), ('reduced', 'B', 5, 0), ('reduced', 'C', 6, 2)),
 pred AS (
   SELECT dataset, algorithm, fold, inst_id, class AS y,
     round(CAST(w * class * 1000 + (10 - w) * ((inst_id * 7919 + s * 131) % 1000) AS DOUBLE) / 10000.0, 3) AS p
