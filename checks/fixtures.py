@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkassay.operators import prep
 from sparkassay.operators.clean import drop_missing_class
 from sparkassay.operators.evaluate import evaluate
 from sparkassay.operators.folds import stratified_folds
@@ -18,6 +19,7 @@ K = 5
 CATEGORICAL = ["f_priority", "f_region", "f_segment", "f_big"]
 QUANTITATIVE = ["f_price", "f_acctbal", "f_month"]
 FEATURES = CATEGORICAL + QUANTITATIVE
+KINDS = {"categorical": CATEGORICAL, "quantitative": QUANTITATIVE}
 
 
 def feat(spark: SparkSession, sf: str) -> DataFrame:
@@ -145,3 +147,11 @@ def run_log(spark: SparkSession, sf: str) -> DataFrame:
     rows = sizes.select("fold", "n", F.posexplode(parts).alias("pos", "component"))
     return rows.select(F.lit("full").alias("dataset"), "fold", "component",
                        (F.col("n") * (F.col("pos") + 1) / 1000.0).alias("seconds"))
+
+
+def fill_state(spark: SparkSession, sf: str) -> DataFrame:
+    return stored(spark, sf, "fill", lambda s, d: prep.fit_fill(fold(s, d), KINDS, K))
+
+
+def scaler_state(spark: SparkSession, sf: str) -> DataFrame:
+    return stored(spark, sf, "scaler", lambda s, d: prep.fit_scaler(fold(s, d), FEATURES, K, fill_state(s, d)))

@@ -19,7 +19,7 @@ def sampled_train(s, d):
     """2000 filled training rows of model index 0, the sampling cap of the scorer."""
     base = fx.fold(s, d)
     train = folds.train_test(base, 0)[0].withColumn("cv", F.lit(0))
-    filled = prep.apply_fill(train, prep.fit_fill(base, KINDS, K), FEATURES, K)
+    filled = prep.apply_fill(train, fx.fill_state(s, d), FEATURES, K)
     return folds.instance_sample(filled, 2000, 11, ROLES)
 
 
@@ -69,7 +69,7 @@ def mi_neighbours(source, keys):
     return f"""
 pts AS (SELECT {k}, class, value FROM {source} WHERE value IS NOT NULL AND feature IN ('{"','".join(QUANT)}')),
 nb AS (SELECT {k}, class, value, count(*) OVER (PARTITION BY {k}, class) AS nc,
-  list_sort(list_filter([{near}], s -> s.v IS NOT NULL))[3] AS far
+  list_sort(list_filter([{near}], lambda s: s.v IS NOT NULL))[3] AS far
   FROM pts WINDOW w AS (PARTITION BY {k}, class ORDER BY value)),
 rng AS (SELECT {k}, value, nc, far.d AS r, CASE WHEN far.side = 'l' THEN far.v ELSE value - far.d END AS lo,
   CASE WHEN far.side = 'r' THEN far.v ELSE value + far.d END AS hi FROM nb),

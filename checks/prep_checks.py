@@ -9,6 +9,7 @@ from checks.profile_checks import rounded
 from checks.sql_tables import FEATURES, sql
 from sparkassay.operators import folds, iterative, prep
 from sparkassay.operators.models import naive_bayes
+from sparkassay.session import cut_lineage
 
 CAT, QUANT, ROLES, K = fx.CATEGORICAL, fx.QUANTITATIVE, fx.ROLES, fx.K
 KINDS = {"categorical": CAT, "quantitative": QUANT}
@@ -17,7 +18,7 @@ HEAD = ["cv", "part", "inst_id"]
 
 def filled(s, d):
     base = fx.fold(s, d)
-    return prep.apply_fill(folds.expand_folds(base, K), prep.fit_fill(base, KINDS, K), FEATURES, K)
+    return prep.apply_fill(folds.expand_folds(base, K), fx.fill_state(s, d), FEATURES, K)
 
 
 def scaler(s, d):
@@ -26,12 +27,14 @@ def scaler(s, d):
 
 
 def ready(s, d):
-    return prep.preprocess(fx.fold(s, d), ROLES, KINDS, K)
+    """Prepared rows of all model indexes from the stored state."""
+    versions = folds.expand_folds(fx.fold(s, d), K)
+    return prep.apply_prep(versions, fx.fill_state(s, d), fx.scaler_state(s, d), FEATURES, K)
 
 
 def nb_pred(s, d):
     data = ready(s, d)
-    state = naive_bayes.fit(data.where("part = 'train'"), FEATURES)
+    state = cut_lineage(naive_bayes.fit(data.where("part = 'train'"), FEATURES), "nb")
     out = naive_bayes.predict(state, data.where("part = 'test'"), FEATURES, K)
     return out.select(F.lit("full").alias("dataset"), F.lit("NB").alias("algorithm"), F.col("cv").alias("fold"),
                       "inst_id", F.col("class").alias("y"), "p")
@@ -58,12 +61,12 @@ QUERIES = {
         prep.fit_scaler(fx.fold(s, d), FEATURES, K), "mean", "scale", digits=5
     ),
     "f5_apply_scaler": lambda s, d: rounded(
-        prep.apply_scaler(filled(s, d), scaler(s, d), FEATURES, K).select(*HEAD, *FEATURES), *FEATURES, digits=5
+        prep.apply_scaler(filled(s, d), fx.scaler_state(s, d), FEATURES, K).select(*HEAD, *FEATURES), *FEATURES, digits=5
     ),
     "f6_inverse_scale": lambda s, d: rounded(
-        prep.inverse_scale(ready(s, d), scaler(s, d), FEATURES, K).select(*HEAD, *FEATURES), *FEATURES, digits=4
+        prep.inverse_scale(ready(s, d), fx.scaler_state(s, d), FEATURES, K).select(*HEAD, *FEATURES), *FEATURES, digits=4
     ),
-    "f7_preprocess": lambda s, d: rounded(ready(s, d).select(*HEAD, "class", *FEATURES), *FEATURES, digits=5),
+    "f7_preprocess": lambda s, d: rounded(prep.preprocess(fx.fold(s, d), ROLES, KINDS, K).select(*HEAD, "class", *FEATURES), *FEATURES, digits=5),
     "h1_naive_bayes": lambda s, d: rounded(nb_pred(s, d), "p", digits=5),
     "h1_naive_bayes_state": lambda s, d: rounded(
         naive_bayes.fit(ready(s, d).where("part = 'train'"), FEATURES), "mean", "var", "prior", digits=5

@@ -9,12 +9,10 @@ totals (a fixed number per group) are ordered inside one group.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkassay.functions.columns import q, shuffle_key
+from sparkassay.functions.columns import SHUFFLE_DIGITS, q, shuffle_number
 
 BROADCAST_ROWS = 1_000_000
 BUCKET = "__bucket"
@@ -60,28 +58,17 @@ def with_value_bucket(
     chosen = (
         source.where(q(value).isNotNull())
         .groupBy(*[q(k) for k in keys], F.pmod(F.xxhash64(q(value)), F.lit(n)).alias("__slot"))
-        .agg(F.min(F.struct(F.xxhash64(q(value), F.lit(1)).alias("h"), q(value).alias("v"))).alias("__m"))
-    )
-    stride = int(math.ceil(math.sqrt(n)))
-    limits = (
-        chosen.groupBy(*[q(k) for k in keys])
-        .agg(F.sort_array(F.collect_set(F.col("__m.v"))).alias("__limits"))
-        .withColumn(
-            "__coarse",
-            F.when(
-                F.size("__limits") >= stride,
-                F.transform(
-                    F.sequence(F.lit(stride), F.greatest(F.size("__limits"), F.lit(stride)), F.lit(stride)),
-                    lambda i: F.element_at("__limits", i),
-                ),
-            ).otherwise(F.slice("__limits", 1, 0)),
-        )
+        .agg(F.min_by(q(value), F.xxhash64(q(value), F.lit(1))).alias("__v"))
     )
+    limits = chosen.groupBy(*[q(k) for k in keys]).agg(F.sort_array(F.collect_set("__v")).alias("__limits"))
     rows = rows.join(small_side(limits, None if groups is None else groups * n // 8), keys)
-    skip = F.size(F.filter("__coarse", lambda b: b < q(value))) * F.lit(stride)
-    fine = F.slice("__limits", skip + 1, F.lit(stride))
-    bucket = skip + F.size(F.filter(fine, lambda b: b < q(value)))
-    return rows.withColumn(BUCKET, bucket).drop("__limits", "__coarse")
+    rows = rows.withColumn(BUCKET, F.lit(0))
+    step = 1 << (n.bit_length() - 1)
+    while step:  # binary search: how many limits are below the value
+        below = F.get("__limits", F.col(BUCKET) + (step - 1)) < q(value)
+        rows = rows.withColumn(BUCKET, F.when(below, F.col(BUCKET) + step).otherwise(F.col(BUCKET)))
+        step //= 2
+    return rows.drop("__limits")
 
 
 # --- running totals ------------------------------------------------------------------------
@@ -137,15 +124,15 @@ def hash_rank(
     df: DataFrame, seed: int, inst: str, partition: list[str] | None = None, out: str = "rank",
     keep_first: Column | None = None, digits: int = 3,
 ) -> DataFrame:
-    """1-based rank in ``shuffle_key`` order, within ``partition``.
+    """1-based rank in ``shuffle_key`` order (then by label), within ``partition``.
 
     The leading hex digits of the key are evenly spread buckets, so no statistics are needed.
     ``keep_first`` keeps only ranks up to that number; whole buckets beyond it are dropped
     before the shuffle.
     """
     parts = partition or []
-    keyed = df.withColumn("__key", shuffle_key(seed, q(inst)))
-    keyed = keyed.withColumn("__hex", F.substring("__key", 1, digits))
+    keyed = df.withColumn("__key", shuffle_number(seed, q(inst)))
+    keyed = keyed.withColumn("__hex", F.shiftright("__key", 4 * (SHUFFLE_DIGITS - digits)).cast("int"))
     sizes = keyed.groupBy(*[q(p) for p in parts], "__hex").agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*([q(p) for p in parts] or [F.lit(0)])).orderBy("__hex")
     offsets = sizes.withColumn("__off", F.sum("__n").over(before) - F.col("__n")).drop("__n")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkassay.functions.columns import q, shuffle_key
+from sparkassay.functions.columns import q, shuffle_number
 from sparkassay.functions.kernels import fold_versions, hash_rank, small_side
 from sparkassay.operators.clean import resolve_match
 from sparkassay.roles import Roles
@@ -34,9 +34,8 @@ def matched_folds(df: DataFrame, k: int, seed: int, roles: Roles) -> DataFrame:
     group is split by the adaptive skew join without copying data rows.
     """
     match = roles.match_col
-    order = F.min(F.struct(shuffle_key(seed, q(roles.inst_col)).alias("k"), q(roles.inst_col).alias("i")))
-    groups = df.groupBy(q(match)).agg(order.alias("__first"))
-    groups = groups.select(q(match), F.col("__first.i").alias("__lead"))
+    lead = F.min_by(q(roles.inst_col), shuffle_number(seed, q(roles.inst_col)))
+    groups = df.groupBy(q(match)).agg(lead.alias("__lead"))
     ranked = hash_rank(groups, seed, "__lead", out="__rank")
     ranked = ranked.select(q(match), _dealt(F.col("__rank"), k).alias("fold"))
     joined = df.alias("d").join(ranked.alias("g"), F.expr(f"d.`{match}` <=> g.`{match}`"))

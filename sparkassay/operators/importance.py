@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from sparkassay.functions.columns import digamma, q
 from sparkassay.functions.kernels import prefix_sum, small_side, to_long, value_totals, with_value_bucket
+from sparkassay.session import cut_lineage
 
 BLOCK_ROWS = 50_000
 
@@ -76,15 +77,15 @@ def mi_knn(
     same = F.struct(
         F.lit(0.0).alias("d"), F.lit("").alias("side"), F.col("value").alias("v"), (F.col("n") - 1).alias("n")
     )
-    ordered = F.array_sort(F.concat(F.array(same), F.filter("near", lambda s: s["v"].isNotNull())))
-    start = F.struct(F.lit(0).cast("long").alias("seen"), F.lit(0.0).alias("d"), F.lit("").alias("side"), F.col("value").alias("v"))
-    reached = F.aggregate(
-        ordered, start,
-        lambda acc, s: F.when(acc["seen"] >= F.col("k_own"), acc).otherwise(
-            F.struct((acc["seen"] + s["n"]).alias("seen"), s["d"].alias("d"), s["side"].alias("side"), s["v"].alias("v"))
-        ),
-    )
-    rows = rows.withColumn("k_own", k_own).withColumn("far", reached)
+    ordered = F.sort_array(F.filter(F.concat(F.array(same), F.col("near")), lambda s: s["v"].isNotNull()))
+    rows = rows.withColumn("k_own", k_own).withColumn("line", ordered)
+    seen, reached = F.lit(0).cast("long"), None
+    for i in range(k + 1):  # nearest first: the value whose points bring the count to k
+        step = F.get("line", F.lit(i))
+        seen = seen + F.coalesce(step["n"], F.lit(0))
+        hit = seen >= F.col("k_own")
+        reached = F.when(hit, step) if reached is None else reached.when(hit, step)
+    rows = rows.withColumn("far", reached)
     own = [*keys, class_col]
     r, x, v = F.col("far.d"), F.col("value"), F.col("far.v")
     low = F.when(F.col("far.side") == "l", v).otherwise(x - r)
@@ -139,7 +140,13 @@ def _block_pairs(rows: DataFrame, right: DataFrame, blocks: int, task, schema: s
     every = F.sequence(F.lit(0), F.lit(blocks - 1))
     a = rows.select("*", F.col("blk").alias("i"), F.explode(every).alias("j"))
     b = right.select("*", F.explode(every).alias("i"), F.col("blk").alias("j"))
-    return a.groupBy("cv", "i", "j").cogroup(b.groupBy("cv", "i", "j")).applyInPandas(task, schema)
+    # both sides may come from one frame: own names keep their columns apart
+    b = b.select(*[F.col(c).alias(f"{c}_b") for c in b.columns])
+
+    def run(left, other):
+        return task(left, other.rename(columns=lambda c: c[:-2]))
+
+    return a.groupBy("cv", "i", "j").cogroup(b.groupBy("cv_b", "i_b", "j_b")).applyInPandas(run, schema)
 
 
 def _distances(a, b, discrete):
@@ -167,10 +174,12 @@ def multisurf(
     Neighbours of an instance lie within mean - sd/2 of its distances. Work is quadratic in
     the rows and split into pairs of row blocks: no task sees more than two blocks, and no
     pair of rows ever becomes a data row. ``rows_bound`` only sets the number of blocks.
+    The sample is read once per block pair and pass, so it is stored first.
     """
     features = [*kinds.get("categorical", []), *kinds.get("quantitative", [])]
     discrete = [f in set(kinds.get("categorical", [])) for f in features]
     blocks = max(1, -(-rows_bound // block_rows))
+    df = cut_lineage(df.select("cv", q(inst), q(class_col), *[q(f) for f in features]), "sample")
     limits = df.groupBy("cv").agg(*[
         (F.max(q(f).cast("double")) - F.min(q(f).cast("double"))).alias(f"__r{i}") for i, f in enumerate(features)
     ])

@@ -14,6 +14,7 @@ from sparkassay.functions.columns import q
 from sparkassay.functions.kernels import exact_quantiles, fold_versions, small_side, to_long
 from sparkassay.operators.folds import expand_folds, train_rows
 from sparkassay.roles import Roles
+from sparkassay.session import cut_lineage
 
 
 def fit_mode(df: DataFrame, features: list[str], k: int) -> DataFrame:
@@ -143,8 +144,11 @@ def apply_prep(
 def preprocess(
     df: DataFrame, roles: Roles, kinds: dict[str, list[str]], k: int, impute: bool = True, scale: bool = True
 ) -> DataFrame:
-    """All model indexes at once: rows with ``cv`` and ``part``, filled and scaled by the training folds."""
+    """All model indexes at once: rows with ``cv`` and ``part``, filled and scaled by the training folds.
+
+    The two state tables are stored when fitted, so using the result does not fit them again.
+    """
     features = [f for f in roles.features(df) if f in set(sum(kinds.values(), []))]
-    fill = fit_fill(df, kinds, k) if impute else None
-    scaler = fit_scaler(df, features, k, fill) if scale else None
+    fill = cut_lineage(fit_fill(df, kinds, k), "fill") if impute else None
+    scaler = cut_lineage(fit_scaler(df, features, k, fill), "scaler") if scale else None
     return apply_prep(expand_folds(df, k), fill, scaler, features, k)
