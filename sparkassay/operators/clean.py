@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import warnings
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkassay.functions.columns import q
 from sparkassay.roles import Roles
+from sparkassay.session import cut_lineage
 
 
 def drop_missing_class(df: DataFrame, roles: Roles, drop_all_missing: bool = False) -> DataFrame:
@@ -19,6 +21,14 @@ def drop_missing_class(df: DataFrame, roles: Roles, drop_all_missing: bool = Fal
     return kept.withColumn(roles.class_col, q(roles.class_col).cast("int"))
 
 
+def ensure_instance(df: DataFrame, roles: Roles, name: str = "instance") -> tuple[DataFrame, Roles]:
+    """A table without an instance label gets a running number; it is stored, so no retry can renumber it."""
+    if roles.inst_col and roles.inst_col in df.columns:
+        return df, roles
+    numbered = cut_lineage(df.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    return numbered, replace(roles, inst_col=name)
+
+
 def drop_features(df: DataFrame, names: list[str]) -> DataFrame:
     unknown = [n for n in names if n not in df.columns]
     if unknown:

@@ -85,7 +85,8 @@ def mi_knn(
         seen = seen + F.coalesce(step["n"], F.lit(0))
         hit = seen >= F.col("k_own")
         reached = F.when(hit, step) if reached is None else reached.when(hit, step)
-    rows = rows.withColumn("far", reached)
+    rows = rows.select(*[q(c) for c in [*keys, class_col]], "value", "n", "tot_n", "k_own", reached.alias("far"))
+    rows = cut_lineage(rows, "radius")  # read by rows and by bucket totals below
     own = [*keys, class_col]
     r, x, v = F.col("far.d"), F.col("value"), F.col("far.v")
     low = F.when(F.col("far.side") == "l", v).otherwise(x - r)

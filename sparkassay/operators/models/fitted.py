@@ -21,7 +21,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.pipeline import Pipeline
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -103,10 +103,11 @@ def load(spark: SparkSession, path: str) -> Fitted:
 def class_weights(train: DataFrame, class_col: str = "class") -> DataFrame:
     """Rows, balanced weight n / (2 n_c) and positive weight (negatives per positive) of each class."""
     counts = train.groupBy(q(class_col).alias("class")).agg(F.count(F.lit(1)).alias("n"))
-    total, classes = counts.agg(F.sum("n")).scalar(), counts.agg(F.count("n")).scalar()
-    negatives = counts.agg(F.sum(F.when(F.col("class") == 0, F.col("n")))).scalar()
+    both = Window.partitionBy(F.lit(0))  # one row per class
+    balanced = F.sum("n").over(both) / (F.count(F.lit(1)).over(both) * F.col("n"))
+    negatives = F.sum(F.when(F.col("class") == 0, F.col("n"))).over(both)
     positive = F.when(F.col("class") == 1, negatives / F.col("n")).otherwise(F.lit(1.0))
-    return counts.select("class", "n", (total / (classes * F.col("n"))).alias("balanced"), positive.alias("positive"))
+    return counts.select("class", "n", balanced.alias("balanced"), positive.alias("positive"))
 
 
 def _weight(train: DataFrame, kind: str | None, class_col: str) -> Column:

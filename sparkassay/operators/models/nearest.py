@@ -12,7 +12,17 @@ from pyspark.sql import functions as F
 
 from sparkassay.functions.columns import q
 
-TRAIN_BLOCK, TEST_CHUNK = 16_384, 1_024
+TRAIN_BLOCK, TEST_CHUNK = 16_384, 4_096
+SLICE = 64  # rows compared with a block at a time: keeps the work in the processor cache
+
+
+def _distance(a, b, p: int):
+    """Sum of |a - b| ** p, added feature by feature in table order."""
+    total = 0.0
+    for f in range(a.shape[-1]):
+        gap = abs(a[..., f] - b[..., f])
+        total = total + (gap * gap if p == 2 else gap**p)
+    return total
 
 
 def _cut(df: DataFrame, features: list[str], inst: str, rows: int, size: int, extra: list) -> tuple[DataFrame, int]:
@@ -44,16 +54,28 @@ def predict(
             return pd.DataFrame({"id": [], "d": [], "other": [], "y": []})
         others = others.sort_values("id_b")
         x, z = np.array(rows["x"].tolist()), np.array(others["x_b"].tolist())
-        d = np.zeros((len(x), len(z)))
-        for f in range(x.shape[1]):
-            gap = np.abs(x[:, f][:, None] - z[:, f][None, :])
-            d += gap * gap if p == 2 else gap**p
-        best = np.argsort(d, axis=1, kind="stable")[:, :k]
-        line = np.arange(len(x))[:, None]
-        return pd.DataFrame({
-            "id": np.repeat(rows["id"].to_numpy(), best.shape[1]), "d": d[line, best].ravel(),
-            "other": others["id_b"].to_numpy()[best].ravel(), "y": others["y"].to_numpy()[best].ravel(),
-        })
+        label, y = others["id_b"].to_numpy(), others["y"].to_numpy()
+        last = min(k, len(z)) - 1
+        size = (z * z).sum(1)
+        out = []
+        for at in range(0, len(x), SLICE):
+            part = x[at : at + SLICE]
+            if p == 2:  # products find the candidates, with room for rounding; exact sums decide
+                d = size - 2.0 * (part @ z.T)
+                room = 1e-9 * (size.max() + (part * part).sum(1) + 1.0)
+            else:
+                d, room = _distance(part[:, None, :], z[None, :, :], p), np.zeros(len(part))
+            limit = np.partition(d, last, axis=1)[:, last] + room
+            row, col = np.nonzero(d <= limit[:, None])
+            exact = _distance(part[row], z[col], p)
+            order = np.lexsort((col, exact, row))
+            row, col, exact = row[order], col[order], exact[order]
+            first = np.searchsorted(row, np.arange(len(part)))
+            keep = np.arange(len(row)) - first[row] < k
+            out.append(pd.DataFrame({
+                "id": rows["id"].to_numpy()[at + row[keep]], "d": exact[keep], "other": label[col[keep]], "y": y[col[keep]],
+            }))
+        return pd.concat(out, ignore_index=True)
 
     kind = dict(df.dtypes)[inst]
     other = dict(train.dtypes)[inst]

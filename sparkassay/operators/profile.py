@@ -20,7 +20,7 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def describe(df: DataFrame, columns: list[str] | None = None, approx: bool = False) -> DataFrame:
     """count, mean, sample sd, min, quartiles, max of each numeric column."""
     columns = columns or numeric_columns(df)
-    long = to_long(df, [], columns).where(F.col("value").isNotNull())
+    long = to_long(df, [], columns)
     stats = [
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"),
@@ -96,7 +96,8 @@ def histogram(df: DataFrame, value: str, bins: int = 100, by: list[str] | None =
     if by:
         placed = rows.join(small_side(limits, groups), by)
     else:
-        placed = rows.withColumn("lo", limits.select("lo").scalar()).withColumn("hi", limits.select("hi").scalar())
+        ends = limits.select(F.struct("lo", "hi").alias("ends")).scalar()
+        placed = rows.withColumn("__ends", ends).select("*", F.col("__ends.lo"), F.col("__ends.hi"))
     width = F.col("hi") - F.col("lo")
     spot = F.floor((F.col("__v") - F.col("lo")) / width * F.lit(bins)).cast("int")
     placed = placed.withColumn("bin", F.least(F.greatest(spot, F.lit(0)), F.lit(bins - 1)))
@@ -141,9 +142,9 @@ def counts_summary(df: DataFrame, roles: Roles, kinds: DataFrame) -> DataFrame:
         F.count_if(F.col("kind") == "categorical").alias("categorical_features"),
         F.count_if(F.col("kind") == "quantitative").alias("quantitative_features"),
     )
-    one = rows.withColumn("features", F.lit(n_features).cast("long"))
-    for name in ("categorical_features", "quantitative_features"):
-        one = one.withColumn(name, by_kind.select(name).scalar())
+    both = by_kind.select(F.struct("categorical_features", "quantitative_features").alias("both")).scalar()
+    one = rows.withColumn("features", F.lit(n_features).cast("long")).withColumn("__both", both)
+    one = one.select("*", F.col("__both.categorical_features"), F.col("__both.quantitative_features"))
     share = F.round(F.col("missing_values") / (F.col("instances") * F.lit(n_features)), 5)
     order = ["instances", "features", "categorical_features", "quantitative_features", "missing_values"]
     items = [F.struct(F.lit(n).alias("variable"), F.col(n).cast("double").alias("count")) for n in order]

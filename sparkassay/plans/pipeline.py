@@ -84,7 +84,9 @@ class Run:
 
     # phase 1
     def explore(self, df: DataFrame) -> None:
-        s, roles = self.settings, self.roles
+        s = self.settings
+        df, self.roles = clean.ensure_instance(df, self.roles)
+        roles = self.roles
         with self.timed("exploratory"):
             rows = clean.drop_features(clean.drop_missing_class(df, roles), list(s.ignore))
             method = clean.resolve_match(rows, roles, s.partition_method)

@@ -23,6 +23,15 @@ def test_clean(spark):
         assert clean.resolve_match(df, roles, "matched") == "stratified"
 
 
+def test_table_without_instance_label(spark):
+    df = spark.createDataFrame([(0, 1.0), (1, 1.0), (1, 1.0)], "class int, f double").repartition(3)
+    named, roles = clean.ensure_instance(df, Roles("class", None))
+    ids = [r["instance"] for r in named.collect()]
+    assert roles.inst_col == "instance" and len(set(ids)) == 3
+    assert sorted(ids) == sorted(r["instance"] for r in named.collect())
+    assert clean.ensure_instance(named, roles)[1] == roles
+
+
 def test_awkward_names(spark):
     df = spark.createDataFrame([(1, 0, 1.0, 5.0), (2, 1, None, 6.0)], "inst_id int, class int, `Iron (%)` double, `a.b ` double")
     out = {r["feature"]: r for r in profile.describe(df, ["Iron (%)", "a.b "]).collect()}
@@ -36,7 +45,7 @@ def test_awkward_names(spark):
 def test_describe_all_missing(spark):
     df = spark.createDataFrame([(None, 1.0), (None, 3.0)], "a double, b double")
     out = {r["feature"]: r for r in profile.describe(df).collect()}
-    assert out["b"]["p25"] == 1.5 and "a" not in out
+    assert out["b"]["p25"] == 1.5 and out["a"]["count"] == 0 and out["a"]["p50"] is None
     unique = {r["column"]: r["n_unique"] for r in profile.unique_counts(df).collect()}
     assert unique == {"a": 0, "b": 2}
 
