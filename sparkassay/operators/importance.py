@@ -42,7 +42,7 @@ def _neighbour_rows(long: DataFrame, class_col: str, keys: list[str], k: int, gr
     """
     own = [*keys, class_col]
     rows = long.select(*[q(c) for c in own], "value")
-    totals = value_totals(rows, own, "value", {"n": F.count(F.lit(1)), "one": F.first(F.lit(1).cast("long"))}, groups)
+    totals = value_totals(rows, own, "value", {"n": F.count(F.lit(1)), "one": F.max(F.lit(1).cast("long"))}, groups)
     spot = totals.where(F.col("tot_n") > 1).withColumn("__home", F.floor((F.col("cum_one") - 1) / block))
     near = F.array_distinct(F.array(
         F.col("__home"), F.floor((F.col("cum_one") - 1 - k) / block), F.floor((F.col("cum_one") - 1 + k) / block)
