@@ -113,8 +113,8 @@ def roc_curve(pred: DataFrame, keys: list[str] = RUN, groups: int | None = None)
     """threshold, fpr, tpr; tied scores are one point; the start (0, 0) has no threshold."""
     here = [
         F.col("p").alias("threshold"),
-        (F.col("cum_n0") / F.col("tot_n0")).alias("fpr"),
-        (F.col("cum_n1") / F.col("tot_n1")).alias("tpr"),
+        F.try_divide("cum_n0", "tot_n0").alias("fpr"),
+        F.try_divide("cum_n1", "tot_n1").alias("tpr"),
     ]
     zero = F.lit(0.0)
     start = [F.lit(None).cast("double").alias("threshold"), zero.alias("fpr"), zero.alias("tpr")]
@@ -125,7 +125,7 @@ def pr_curve(pred: DataFrame, keys: list[str] = RUN, groups: int | None = None)
     """threshold, precision, recall; the end (1, 0) has no threshold."""
     here = [
         F.col("p").alias("threshold"), _precision_here().alias("precision"),
-        (F.col("cum_n1") / F.col("tot_n1")).alias("recall"),
+        F.try_divide("cum_n1", "tot_n1").alias("recall"),
     ]
     start = [F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall")]
     return _with_start(curve_points(pred, keys, groups), keys, here, start)
@@ -134,9 +134,9 @@ def pr_curve(pred: DataFrame, keys: list[str] = RUN, groups: int | None = None)
 def _area_columns() -> dict[str, Column]:
     n1, n0, all1, all0 = F.col("n1"), F.col("n0"), F.col("tot_n1"), F.col("tot_n0")
     below = F.col("cum_n1") - n1
-    step = n1 / all1
-    return {
-        "roc_auc": F.sum((n0 / all0) * ((below + n1 / 2.0) / all1)),
+    step = F.try_divide(n1, all1)
+    return {  # NULL where a class is absent
+        "roc_auc": F.sum(F.try_divide(n0, all0) * F.try_divide(below + n1 / 2.0, all1)),
         "prc_auc": F.sum(step * (_precision_here() + _precision_before()) / 2.0),
         "aps": F.sum(step * _precision_here()),
     }
@@ -248,15 +248,15 @@ def interpolated_curve(
     last = n - 1
 
     def first_at_or_after(count: Column) -> Column:
-        return F.floor((count * last + total - 1) / total).cast("int")
+        return F.floor(F.try_divide(count * last + total - 1, total)).cast("int")
 
     if kind == "roc":
-        y0, y1 = (F.col("cum_n1") - F.col("n1")) / F.col("tot_n1"), F.col("cum_n1") / F.col("tot_n1")
+        y0, y1 = F.try_divide(F.col("cum_n1") - F.col("n1"), "tot_n1"), F.try_divide("cum_n1", "tot_n1")
         end = F.lit(1.0)
     else:
         y0, y1 = _precision_before(), _precision_here()
         end = _precision_here()
-    x0, x1 = (here - F.col(axis)) / total, here / total
+    x0, x1 = F.try_divide(here - F.col(axis), total), F.try_divide(here, total)
     lo, hi = first_at_or_after(here - F.col(axis)), first_at_or_after(here) - 1
     covered = F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
     covered = F.when(_is_last(), F.concat(covered, F.array(F.lit(last)))).otherwise(covered)
@@ -265,7 +265,7 @@ def interpolated_curve(
         end.alias("__end"), F.explode(covered).alias("i"),
     )
     x = F.col("i") / F.lit(float(last))
-    slope = (F.col("__y1") - F.col("__y0")) / (F.col("__x1") - F.col("__x0"))
+    slope = F.try_divide(F.col("__y1") - F.col("__y0"), F.col("__x1") - F.col("__x0"))
     y = F.when(F.col("i") == last, F.col("__end")).otherwise(F.col("__y0") + slope * (x - F.col("__x0")))
     if kind == "roc":
         y = F.when(F.col("i") == 0, F.lit(0.0)).otherwise(y)

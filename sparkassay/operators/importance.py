@@ -212,8 +212,8 @@ def multisurf(
 
     parts = _block_pairs(rows, rows, blocks, spread, "cv int, id string, n double, s double, ss double")
     sums = parts.groupBy("cv", "id").agg(*[F.sum(c).alias(c) for c in ("n", "s", "ss")])
-    mean = F.col("s") / F.col("n")
-    sd = F.sqrt(F.greatest(F.col("ss") / F.col("n") - mean * mean, F.lit(0.0)))
+    mean = F.try_divide("s", "n")
+    sd = F.sqrt(F.greatest(F.try_divide("ss", "n") - mean * mean, F.lit(0.0)))
     radius = sums.select("cv", "id", (mean - sd / 2.0).alias("radius"))
 
     def near(left, right):

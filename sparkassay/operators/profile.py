@@ -10,7 +10,7 @@ from sparkassay.functions.columns import q
 from sparkassay.functions.kernels import exact_quantiles, small_side, to_long
 from sparkassay.roles import Roles
 
-BUILTIN_PAIRS = 200
+BUILTIN_PAIRS = 10  # beyond this one wide aggregate compiles to slow code
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -145,7 +145,7 @@ def counts_summary(df: DataFrame, roles: Roles, kinds: DataFrame) -> DataFrame:
     both = by_kind.select(F.struct("categorical_features", "quantitative_features").alias("both")).scalar()
     one = rows.withColumn("features", F.lit(n_features).cast("long")).withColumn("__both", both)
     one = one.select("*", F.col("__both.categorical_features"), F.col("__both.quantitative_features"))
-    share = F.round(F.col("missing_values") / (F.col("instances") * F.lit(n_features)), 5)
+    share = F.round(F.try_divide(F.col("missing_values"), F.col("instances") * F.lit(n_features)), 5)
     order = ["instances", "features", "categorical_features", "quantitative_features", "missing_values"]
     items = [F.struct(F.lit(n).alias("variable"), F.col(n).cast("double").alias("count")) for n in order]
     items.append(F.struct(F.lit("missing_percent").alias("variable"), share.alias("count")))
@@ -234,9 +234,9 @@ def _correlation_from_moments(df: DataFrame, features: list[str]) -> DataFrame:
     sums = wide.mapInPandas(partial, schema).groupBy("i", "j").agg(
         *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]
     )
-    vx = F.col("sxx") - F.col("sx") * F.col("sx") / F.col("n")
-    vy = F.col("syy") - F.col("sy") * F.col("sy") / F.col("n")
-    cov = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
+    vx = F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), F.col("n"))
+    vy = F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), F.col("n"))
+    cov = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
     corr = F.when((F.col("n") > 1) & (vx > 0) & (vy > 0), cov / F.sqrt(vx * vy))
     names = F.array(*[F.lit(f) for f in features])
     half = sums.select("i", "j", corr.alias("corr"))

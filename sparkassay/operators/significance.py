@@ -48,7 +48,7 @@ def kruskal(perf: DataFrame, by: str = "algorithm", cutoff: float = 0.05, keys:
     )
     n = F.col("n")
     raw = F.lit(12.0) / (n * (n + 1)) * F.col("s") - 3 * (n + 1)
-    spread = 1 - F.col("tie") / (n * n * n - n)
+    spread = 1 - F.try_divide(F.col("tie"), n * n * n - n)
     stat = F.when((F.col("g") > 1) & (spread > 0), raw / spread)
     h = h.select(*[q(k) for k in keys], stat.alias("h"), (F.col("g") - 1).alias("dof"))
     p = F.coalesce(chi2_p("h", "dof"), F.lit(1.0))

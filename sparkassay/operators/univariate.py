@@ -43,7 +43,7 @@ def rank_sum_columns(n0, n1, r1, ties):
     n = n0 + n1
     u1 = r1 - n1 * (n1 + 1) / 2.0
     u0 = n0 * n1 - u1
-    var = n0 * n1 / 12.0 * ((n + 1) - ties / (n * (n - 1)))
+    var = n0 * n1 / 12.0 * ((n + 1) - F.try_divide(ties, n * (n - 1)))
     z = F.when(var > 0, (F.greatest(u0, u1) - n0 * n1 / 2.0 - 0.5) / F.sqrt(var))
     return u0, u1, z
 

@@ -46,6 +46,16 @@ def test_no_skill_scores(spark):
     assert m["roc_auc"] == pytest.approx(0.5) and m["aps"] == pytest.approx(0.5) and m["tp"] == 0
 
 
+def test_one_class_gives_no_areas(spark):
+    for y in (0, 1):
+        df = preds(spark, [(y, 0.9), (y, 0.2), (y, 0.6)])
+        m = one(ev.all_metrics(df))
+        assert m["roc_auc"] is None and m["accuracy"] == pytest.approx(2 / 3 if y else 1 / 3)
+        assert ev.evaluate(df).count() == 16
+        assert ev.roc_curve(df).count() == 4 and ev.pr_curve(df).count() == 4
+        assert ev.mean_curve(df, "roc").count() >= 1
+
+
 def test_auc_is_the_rank_statistic(spark):
     rng = random.Random(4)
     rows = [(int(rng.random() < 0.4), round(rng.random(), 1)) for _ in range(300)]

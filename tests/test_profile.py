@@ -108,6 +108,16 @@ def test_one_class_only(spark):
     assert r["statistic"] is None and r["p_value"] == 1.0
 
 
+def test_single_row_and_empty_table(spark):
+    one = spark.createDataFrame([(0, 1.0)], "class int, f double")
+    assert univariate.mann_whitney_by_feature(one, ["f"], "class").first()["p_value"] == 1.0
+    assert univariate.chi2_by_feature(one, ["f"], "class").first()["p_value"] == 1.0
+    roles = Roles("class", None)
+    empty = one.where("f > 5")
+    counts = {r["variable"]: r["count"] for r in profile.counts_summary(empty, roles, profile.feature_kinds(one, roles)).collect()}
+    assert counts["instances"] == 0 and counts["missing_percent"] is None
+
+
 def test_tests_skip_labels_and_sort(table):
     out = univariate.univariate_tests(table, ROLES, KINDS).collect()
     assert {r["feature"] for r in out} == set(FEATURES)
