@@ -7,7 +7,8 @@ from collections.abc import Callable
 from types import ModuleType
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 STATE = "sparkassay_worker_state"
 
@@ -26,3 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def whole_numbers(n: int) -> Column:
+    """The array 0, 1, ..., n - 1 of long numbers."""
+    return F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkassay.llm import mixing, packing, records
+from sparkassay.llm import capfilters, kdtree, mixing, packing, records
 from sparkassay.llm.common import table
 from sparkassay.session import scratch_path
 
@@ -31,9 +31,20 @@ def op10_record_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_kdtree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return kdtree.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+def op8_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capfilters.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
+    "op1_kdtree_search": op1_kdtree_search,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op6_source_schedule": op6_source_schedule,
+    "op8_cap_filters": op8_cap_filters,
     "op10_record_files": op10_record_files,
 }
 
