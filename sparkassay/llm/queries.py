@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkassay.llm import capfilters, kdtree, mixing, packing, records
+from sparkassay.llm import capfilters, kdtree, mixing, packing, records, weighted_minhash
 from sparkassay.llm.common import table
 from sparkassay.session import scratch_path
 
@@ -40,9 +40,14 @@ def op8_cap_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return capfilters.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op5_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_minhash.near_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_kdtree_search": op1_kdtree_search,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op5_weighted_minhash": op5_weighted_minhash,
     "op6_source_schedule": op6_source_schedule,
     "op8_cap_filters": op8_cap_filters,
     "op10_record_files": op10_record_files,
