@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkassay.llm import capfilters, kdtree, mixing, packing, records, weighted_minhash
+from sparkassay.llm import capfilters, kdtree, mixing, packing, records, toxicity, weighted_minhash
 from sparkassay.llm.common import table
 from sparkassay.session import scratch_path
 
@@ -44,11 +44,16 @@ def op5_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_minhash.near_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_kdtree_search": op1_kdtree_search,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_weighted_minhash": op5_weighted_minhash,
     "op6_source_schedule": op6_source_schedule,
+    "op7_weak_supervision": op7_weak_supervision,
     "op8_cap_filters": op8_cap_filters,
     "op10_record_files": op10_record_files,
 }
