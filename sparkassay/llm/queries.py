@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkassay.llm import capfilters, kdtree, mixing, packing, records, toxicity, weighted_minhash
+from sparkassay.llm import capfilters, kdtree, mixing, packing, personal, records, toxicity, weighted_minhash
 from sparkassay.llm.common import table
 from sparkassay.session import scratch_path
 
@@ -48,8 +48,18 @@ def op7_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_bootstrapped_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.find_personal(table(spark, sf_dir, "documents")).documents
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *map(count, personal.KINDS), F.sha2(personal.written(F.col("base")), 256).alias("base_sha256"),
+        personal.written(personal.in_order(F.concat("base", "added"))).alias("spans"),
+    )
+
+
 QUERIES = {
     "op1_kdtree_search": op1_kdtree_search,
+    "op2_bootstrapped_contexts": op2_bootstrapped_contexts,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op5_weighted_minhash": op5_weighted_minhash,
     "op6_source_schedule": op6_source_schedule,
