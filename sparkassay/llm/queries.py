@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkassay.llm import capfilters, kdtree, mixing, packing, personal, records, toxicity, weighted_minhash
+from sparkassay.llm import capfilters, kdtree, mixing, packing, personal, records, tagpaths, toxicity, weighted_minhash
 from sparkassay.llm.common import table
 from sparkassay.session import scratch_path
 
@@ -57,6 +58,11 @@ def op2_bootstrapped_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = tagpaths.extract_main_text(table(spark, sf_dir, "pages"))
+    return text.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 QUERIES = {
     "op1_kdtree_search": op1_kdtree_search,
     "op2_bootstrapped_contexts": op2_bootstrapped_contexts,
@@ -65,7 +71,9 @@ QUERIES = {
     "op6_source_schedule": op6_source_schedule,
     "op7_weak_supervision": op7_weak_supervision,
     "op8_cap_filters": op8_cap_filters,
+    "op9_tag_paths": op9_tag_paths,
     "op10_record_files": op10_record_files,
+    "pipeline": corpus_pipeline.run,
 }
 
 OP6_SQL = """

@@ -9,7 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkassay.session import cut_lineage
@@ -184,6 +184,21 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label
     return Model(model.lexicon, weights, intercept, accuracy)
 
 
+def scorer(model: Model):
+    """A function of a text column that gives its scores."""
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        return pd.Series([model.score(text) for text in texts], dtype=float)
+
+    return score
+
+
+def held_out(doc_id: Column, folds: int) -> Column:
+    """True for ids in the fold that nothing learns from; a null id is in none."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % folds == 0, F.lit(False))
+
+
 def score_toxicity(
     docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     folds: int = 5, fit_rows: int = FIT_ROWS,
@@ -199,16 +214,8 @@ def score_toxicity(
     id is never held out). Null labels are ignored, the highest of repeated ones counts. Without labels of both
     classes the score is the share of toxic labels (0.5 without any). Empty tables give no rows.
     """
-    fold = F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
-    model = fit(
-        docs, labels.where(fold != 0), id_col=id_col, text_col=text_col, label_col=label_col, fit_rows=fit_rows
-    )
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            batch["score"] = [model.score(text) for text in batch.pop("text")]
-            yield batch
-
-    rows = docs.select(F.col(id_col), F.coalesce(fold == 0, F.lit(False)).alias("held_out"), F.col(text_col).cast("string").alias("text"))
-    schema = rows.drop("text").schema.add("score", "double")
-    return rows.mapInPandas(score, schema).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    learn = labels.where(~held_out(F.col(id_col), folds))
+    model = fit(docs, learn, id_col=id_col, text_col=text_col, label_col=label_col, fit_rows=fit_rows)
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col), held_out(F.col(id_col), folds).alias("held_out"), scorer(model)(text).alias("score"))
+    return rows.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
