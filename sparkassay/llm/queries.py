@@ -6,7 +6,7 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkassay.llm import capfilters, kdtree, mixing, packing, personal, records, tagpaths, toxicity, weighted_minhash
+from sparkassay.llm import capfilters, chaining, kdtree, mixing, packing, personal, records, tagpaths, toxicity, weighted_minhash
 from sparkassay.llm.common import table
 from sparkassay.session import scratch_path
 
@@ -63,10 +63,15 @@ def op9_tag_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.withColumn("n_chars", F.char_length("text").cast("long"))
 
 
+def op4_collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_kdtree_search": op1_kdtree_search,
     "op2_bootstrapped_contexts": op2_bootstrapped_contexts,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_collinear_chaining": op4_collinear_chaining,
     "op5_weighted_minhash": op5_weighted_minhash,
     "op6_source_schedule": op6_source_schedule,
     "op7_weak_supervision": op7_weak_supervision,
