@@ -16,7 +16,7 @@ def with_minimum(links: DataFrame, node: str, minimum: DataFrame) -> DataFrame:
     """``links`` with the column ``m`` of ``minimum`` (a row per ``node``); a node with many links is spread over salts."""
     salted = links.withColumn("salt", F.pmod(F.xxhash64("u", "v"), F.lit(SALTS)))
     minimum = minimum.withColumn("salt", F.explode(whole_numbers(SALTS)))
-    return salted.join(minimum, [node, "salt"])
+    return salted.join(minimum.hint("merge"), [node, "salt"])
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
