@@ -13,8 +13,13 @@ from sparkassay.llm.graph import components
 from sparkassay.llm.kdtree import usable
 from sparkassay.session import cut_lineage
 
-#: Links found in expectation by this many filters each; a pair at the threshold is missed with about e^-SHARED.
-SHARED = 10.0
+#: Independent codes, and how many filters of each a pair at the threshold shares in expectation. The filters of one
+#: code depend on each other, so many codes with one shared filter miss far fewer pairs than one code with many.
+CODES, SHARED = 16, 1.0
+#: Random vectors that share a filter with a vector, in expectation.
+CHANCE = 1.0
+#: Filters per vector and code at most, in expectation; few dimensions or many rows would ask for more.
+PER_VECTOR = 5.0
 #: Members of a filter that one task compares with each other or with another such part.
 PART = 1024
 
@@ -33,44 +38,48 @@ class Code:
         half = len(self.left[0])
         turned = rows @ self.turn
         one, two = turned[:, :half] @ self.left.T, turned[:, half:] @ self.right.T
+        tops = two.max(axis=1), one.max(axis=1)
         out = []
-        for first, second in zip(one, two):
-            order = np.argsort(-second)
-            falling = second[order]
-            able = np.flatnonzero(first + falling[0] >= self.threshold)  # no partner can save the others
-            sizes = np.searchsorted(-falling, first[able] - self.threshold, side="right")
-            mine = np.repeat(able, sizes) * len(second)
-            partners = np.concatenate([order[:size] for size in sizes]) if len(sizes) else np.empty(0, np.int64)
-            out.append(np.sort(mine + partners))
+        for first, second, top_two, top_one in zip(one, two, *tops):
+            able = np.flatnonzero(first >= self.threshold - top_two)  # no partner can save the others
+            partners = np.flatnonzero(second >= self.threshold - top_one)
+            fits = first[able][:, None] + second[partners][None, :] >= self.threshold
+            i, j = np.nonzero(fits)
+            out.append(able[i] * len(second) + partners[j])
         return out
 
 
 def cap(dim: int, t: float) -> float:
     """Share of the unit sphere with at least ``t`` in a given direction."""
-    u = np.linspace(-1, 1, 40_001)
+    u = np.linspace(-1, 1, 8_001)
     weight = (1 - u * u).clip(0) ** ((dim - 3) / 2) if dim > 2 else np.ones_like(u)
     return float(weight[u >= t].sum() / weight.sum())
 
 
 def both(dim: int, t: float, cosine: float) -> float:
     """Share of directions that have at least ``t`` with both of two vectors at the given cosine."""
-    u = np.linspace(t, 1, 400)[:-1]
+    u = np.linspace(t, 1, 200)[:-1]
     weight = (1 - u * u) ** ((dim - 3) / 2)
     limit = (t - cosine * u) / np.sqrt((1 - cosine**2) * (1 - u * u))
     given = np.array([cap(max(dim - 1, 3), x) if x < 1 else 0.0 for x in limit])
     return float((weight * given).sum() / weight.sum()) * cap(dim, t)
 
 
-def make_code(rows: int, dim: int, cosine: float, seed: int) -> Code:
-    """A code for this many vectors: caps hold about 32 random vectors each, and there are as many as recall needs."""
+def make_codes(rows: int, dim: int, cosine: float, seed: int) -> list[Code]:
+    """Codes for this many vectors: caps so narrow that chance meetings are few, and as many as recall needs."""
     size = max(dim + dim % 2, 4)
-    share = min(2e-3, max(1e-9, 32.0 / max(rows, 1)))
+    share = min(2e-3, max(1e-9, CHANCE / max(rows, 1)))
     low, high = 0.0, 0.999
-    for _ in range(40):
+    for _ in range(30):
         t = (low + high) / 2
         low, high = (t, high) if cap(size, t) > share else (low, t)
-    filters = SHARED / max(both(size, t, cosine), 1e-12)
-    words = int(np.ceil(np.sqrt(filters)))
+    while t > 0 and SHARED * cap(size, t) > PER_VECTOR * both(size, t, cosine):
+        t = max(0.0, t - 0.02)  # caps too narrow for a pair at the threshold to share
+    words = int(np.ceil(np.sqrt(SHARED / both(size, t, cosine))))
+    return [make_code(size, dim, words, t, seed + at) for at in range(CODES)]
+
+
+def make_code(size: int, dim: int, words: int, t: float, seed: int) -> Code:
     rng = np.random.default_rng(seed)
     turn = np.linalg.qr(rng.standard_normal((size, size)))[0][:dim]
     books = [rng.standard_normal((words, size // 2)) for _ in range(2)]
@@ -138,10 +147,11 @@ def near_vectors(
     """Direct links and component of every vector: ``id_col, n_links, component_id, kept``.
 
     Equal vectors are one (their copies link each other by definition). Each distinct vector is decoded to all
-    filters, pairs of codewords of a random product code, whose direction it exceeds; vectors that meet in a filter
-    are compared in double precision and counted in the smallest filter that they share. The cap and the number of
-    filters follow from the row count so that a pair at the threshold shares ``SHARED`` filters in expectation
-    (missed with about e^-10, less above it). A filter with many members is compared by pairs of parts of ``PART``
+    filters, pairs of codewords of ``CODES`` random product codes, whose direction it exceeds; vectors that meet in a
+    filter are compared in double precision and counted in the smallest filter that they share. The cap and the number
+    of filters follow from the row count, so that chance meetings are few and a pair at the threshold shares
+    ``CODES * SHARED`` filters in expectation (about one in a thousand such pairs shares none, fewer above it). Only
+    filters with a second member get vectors. A filter with many members is compared by pairs of parts of ``PART``
     rows, so no task grows; tasks return sums and one link per member, never pairs. Components come from those links.
 
     Null ids, null, empty or zero vectors and those with null or non-finite components link with nothing and stay
@@ -149,14 +159,14 @@ def near_vectors(
     with one component. An empty table gives no rows. Other columns are not read.
     """
     vector = F.col("vector")
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("vector"))
     able = F.coalesce(F.col("id").isNotNull() & usable(vector) & F.exists(vector, lambda x: x != 0), F.lit(False))
     rows = cut_lineage(rows.withColumn("able", able).withColumn("hash", F.xxhash64("vector")), "vectors")
     distinct = rows.where("able").groupBy("hash", "vector").agg(F.min("id").alias("rep"), F.count("*").alias("copies"))
     distinct = cut_lineage(distinct, "distinct")
     sizes = [r["size"] for r in distinct.select(F.size("vector").alias("size")).distinct().collect()]
     count = distinct.count()
-    codes = {size: make_code(count, size, cosine, seed) for size in sizes}
+    codes = {size: make_codes(count, size, cosine, seed) for size in sizes}
 
     def decode(batches):
         for batch in batches:
@@ -164,20 +174,31 @@ def near_vectors(
             for size, some in batch.groupby(lengths):
                 plain = np.stack(some["vector"].to_numpy()).astype(float)
                 unit = plain / np.abs(plain).max(axis=1, keepdims=True)
-                unit = np.pad(unit / np.linalg.norm(unit, axis=1, keepdims=True), ((0, 0), (0, 0)))
-                yield pd.DataFrame({"rep": some["rep"], "filters": codes[size].decode(unit), "size": size})
+                unit = unit / np.linalg.norm(unit, axis=1, keepdims=True)
+                found = [
+                    [own + at * len(code.left) * len(code.right) for own in code.decode(unit)]
+                    for at, code in enumerate(codes[size])
+                ]
+                filters = [np.concatenate(own) for own in zip(*found)]
+                yield pd.DataFrame({"rep": some["rep"], "filters": filters, "size": size})
 
     decoded = distinct.select("rep", "vector").mapInPandas(decode, "rep long, filters array<long>, size int")
     members = cut_lineage(decoded, "filters")
-    named = members.select("rep", "size", "filters", F.explode("filters").alias("filter"))
+    named = members.select("rep", "size", F.explode("filters").alias("filter"))
     counts = named.groupBy("size", "filter").agg(F.count("*").alias("n")).where("n > 1")
     counts = cut_lineage(counts, "counts")
-    busy = named.join(counts, ["size", "filter"])
+    # only filters with a second member go on, and only their members' vectors are sent to them
+    met = named.join(counts, ["size", "filter"]).groupBy("rep", "size").agg(
+        F.collect_list(F.struct("filter", "n")).alias("met")
+    )
+    met = cut_lineage(met, "met")
+    busy = met.select("rep", "size", F.col("met.filter").alias("filters"), F.explode("met").alias("one")).select(
+        "rep", "size", "filters", "one.*"
+    )
     parts = F.ceil(F.col("n") / PART).cast("int")
     busy = busy.withColumn("part", F.pmod(F.xxhash64("rep"), parts.cast("long")).cast("int"))
     # part p meets itself and every other part: (p, q) for q >= p and (q, p) for q < p
-    other = F.explode(F.sequence(F.lit(0), parts - 1))
-    busy = busy.withColumn("other", other).select(
+    busy = busy.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1))).select(
         "rep", "size", "filter", "filters", "part", F.least("part", "other").alias("part_a"),
         F.greatest("part", "other").alias("part_b"),
     )
