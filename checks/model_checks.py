@@ -9,7 +9,7 @@ from checks.prep_checks import FILL, NB, nb_pred, ready
 from checks.profile_checks import rounded
 from checks.sql_tables import CURVE, FEATURES, METRIC_COLUMNS, PERF, sql
 from checks.summary_checks import BEST, PERF_R, SIMPSON, kruskal_cte
-from sparkassay.operators import evaluate, folds, prep, profile, replication, summarize
+from sparkassay.operators import clean, evaluate, folds, prep, profile, replication, summarize
 from sparkassay.operators.models import fitted as fm
 from sparkassay.operators.models import tune
 from sparkassay.operators.models.permute import permutation_importance
@@ -88,7 +88,10 @@ def repl_models(s, d):
 
 
 def repl_pred(s, d):
-    return replication.apply_models(repl_models(s, d), repl_prepared(s, d), "repl")
+    rows = clean.align_to(FEATURES, clean.drop_missing_class(repl(s, d), ROLES), ROLES)
+    state = fx.fill_state(s, d), fx.scaler_state(s, d)
+    ready = lambda cv: prep.apply_prep(rows.withColumn("cv", F.lit(cv)), *state, FEATURES, K)
+    return replication.apply_models(repl_models(s, d), ready, "repl")
 
 
 def repl_profile(s, d):
@@ -130,7 +133,7 @@ def folder_of_datasets(s, d):
     base = fx.feat(s, d)
     sinks.write_result(base, f"{folder}/full.csv", "csv")
     sinks.write_result(base.drop("f_price", "f_segment"), f"{folder}/reduced.csv", "csv")
-    found = {n: readers.read_dataset(s, f"{folder}/{n}.csv") for n in ("full", "reduced")}
+    found = readers.read_datasets(s, folder)
     return readers.union_datasets(found).groupBy("dataset").agg(
         F.count(F.lit(1)).alias("n"), F.count("f_price").alias("priced"), F.count("f_month").alias("dated")
     )

@@ -42,7 +42,7 @@ def nb_pred(s, d):
 
 def imputed_iteratively(s, d):
     base = fx.fold(s, d)
-    state = iterative.fit_iterative(base, FEATURES, K, max_iter=5)
+    state = iterative.fit_iterative(base, FEATURES, K)
     full = iterative.apply_iterative(folds.expand_folds(base, K), state, FEATURES)
     return full.groupBy("cv", "part").agg(
         F.count(F.lit(1)).alias("n"), *[F.avg(f).alias(f) for f in FEATURES],

@@ -146,7 +146,7 @@ QUERIES = {
     "c8_feature_kinds": lambda s, d: profile.feature_kinds(fx.feat(s, d), ROLES),
     "c9_correlation_matrix": lambda s, d: rounded(profile.correlation_matrix(fx.feat(s, d), FEATURES), "corr"),
     "c9_correlation_moments": lambda s, d: rounded(
-        profile._correlation_from_moments(fx.feat(s, d), FEATURES), "corr"
+        profile.correlation_matrix(fx.feat(s, d), FEATURES), "corr"
     ),
     "c10_contingency": lambda s, d: profile.contingency(fx.fold(s, d), CAT, "class"),
     "c11_boxplot_stats": lambda s, d: rounded(

@@ -11,19 +11,27 @@ from sparkassay.operators.clean import resolve_match
 from sparkassay.roles import Roles
 
 
+def _free(df: DataFrame) -> DataFrame:
+    """The table, if the names that folds need are free."""
+    taken = {"fold", "cv", "part"} & set(df.columns)
+    if taken:
+        raise ValueError(f"columns named {', '.join(sorted(taken))} clash with those of the folds; rename them")
+    return df
+
+
 def _dealt(rank, k: int):
     return F.pmod(rank - 1, F.lit(k)).cast("int")
 
 
 def random_folds(df: DataFrame, k: int, seed: int, roles: Roles) -> DataFrame:
     """Round robin over the shuffled rows."""
-    ranked = hash_rank(df, seed, roles.inst_col, out="__rank")
+    ranked = hash_rank(_free(df), seed, roles.inst_col, out="__rank")
     return ranked.withColumn("fold", _dealt(F.col("__rank"), k)).drop("__rank")
 
 
 def stratified_folds(df: DataFrame, k: int, seed: int, roles: Roles) -> DataFrame:
     """Round robin that starts again at fold 0 in each class."""
-    ranked = hash_rank(df, seed, roles.inst_col, [roles.class_col], out="__rank")
+    ranked = hash_rank(_free(df), seed, roles.inst_col, [roles.class_col], out="__rank")
     return ranked.withColumn("fold", _dealt(F.col("__rank"), k)).drop("__rank")
 
 
@@ -34,6 +42,7 @@ def matched_folds(df: DataFrame, k: int, seed: int, roles: Roles) -> DataFrame:
     group is split by the adaptive skew join without copying data rows.
     """
     match = roles.match_col
+    _free(df)
     lead = F.min_by(q(roles.inst_col), shuffle_number(seed, q(roles.inst_col)))
     groups = df.groupBy(q(match)).agg(lead.alias("__lead"))
     ranked = hash_rank(groups, seed, "__lead", out="__rank")

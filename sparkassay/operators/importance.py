@@ -168,19 +168,22 @@ def _distances(a, b, discrete):
 
 def multisurf(
     df: DataFrame, kinds: dict[str, list[str]], inst: str = "inst_id", class_col: str = "class", block_rows: int = 512,
-    rows_bound: int = 2000,
+    rows_bound: int | None = None,
 ) -> DataFrame:
     """Relief-type scores of rows that carry ``cv`` (already sampled, see ``instance_sample``).
 
     Neighbours of an instance lie within mean - sd/2 of its distances. Work is quadratic in
     the rows and split into pairs of row blocks: no task sees more than two blocks, and no
-    pair of rows ever becomes a data row. ``rows_bound`` only sets the number of blocks.
+    pair of rows ever becomes a data row. The number of blocks follows from the largest row
+    count of a model index, unless ``rows_bound`` gives it.
     The sample is read once per block pair and pass, so it is stored first.
     """
     features = [*kinds.get("categorical", []), *kinds.get("quantitative", [])]
     discrete = [f in set(kinds.get("categorical", [])) for f in features]
-    blocks = max(1, -(-rows_bound // block_rows))
     df = cut_lineage(df.select("cv", q(inst), q(class_col), *[q(f) for f in features]), "sample")
+    if rows_bound is None:
+        rows_bound = df.groupBy("cv").count().agg(F.max("count")).first()[0] or 0
+    blocks = max(1, -(-rows_bound // block_rows))
     limits = df.groupBy("cv").agg(*[
         (F.max(q(f).cast("double")) - F.min(q(f).cast("double"))).alias(f"__r{i}") for i, f in enumerate(features)
     ])

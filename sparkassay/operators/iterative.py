@@ -1,11 +1,16 @@
 """Iterative imputation: every incomplete feature is regressed on all others, in rounds.
 
 A round costs one pass over the data for all folds and targets together. Tasks fill
-their rows from the parameters found so far and add up cross-products; the driver only
-solves features x features systems. No filled copy of the data is kept between rounds,
-so nothing has to be checkpointed and a lost task is just run again. All targets of a
-round are fitted to the state at its start; the fixed point is that of one-by-one
-updates.
+their rows from the parameters found so far and add up cross-products; one task per
+fold and target sums them and solves its features x features system, so the driver
+gets a row of weights per fold and target only. No filled copy of the data is kept
+between rounds, so nothing has to be checkpointed and a lost task is just run again.
+
+The weights of a round are fitted to the state at its start, but a row's gaps are filled
+one after another, each from the values just filled: these are Gauss-Seidel steps on
+the precision matrix, which converge where filling all gaps at once from old values
+diverges. A fold stops when its largest change falls below the tolerance, or grows
+over two rounds in a row.
 """
 
 from __future__ import annotations
@@ -29,9 +34,12 @@ def fill_rows(x: np.ndarray, start: np.ndarray, rounds: list[tuple[np.ndarray, n
     gaps = np.isnan(x)
     now = np.where(gaps, start, x)
     before = now
+    open_columns = np.flatnonzero(gaps.any(axis=0))
     for weights, intercepts in rounds:
-        before = now
-        now = np.where(gaps, now @ weights.T + intercepts, x)
+        before, now = now, now.copy()
+        for t in open_columns:
+            rows = gaps[:, t]
+            now[rows, t] = now[rows] @ weights[t] + intercepts[t]
     return now, before
 
 
@@ -56,7 +64,7 @@ def bayes_ridge(xx: np.ndarray, xy: np.ndarray, yy: float, n: float) -> np.ndarr
 
 
 def _round_sums(df: DataFrame, features: list[str], model: dict, targets: dict[int, list[int]]) -> list:
-    """Cross-products of the observed rows of each (cv, target), and the last change of each cv."""
+    """Weights of each (cv, target) from the cross-products of its observed rows, and the last change of each cv."""
     d = len(features)
     upper = np.triu_indices(d + 1)
     wide = df.select("fold", *[q(f).cast("double").alias(f"f{i}") for i, f in enumerate(features)])
@@ -80,11 +88,30 @@ def _round_sums(df: DataFrame, features: list[str], model: dict, targets: dict[i
                 for t in todo:
                     seen = row[~np.isnan(x[:, t])]
                     sums[cv, t] = sums.get((cv, t), 0.0) + (seen.T @ seen)[upper]
-        for (cv, t), total in sums.items():
-            yield pd.DataFrame({"cv": cv, "t": t, "pos": np.arange(len(total)), "s": total, "delta": change[cv]})
+        yield pd.DataFrame(
+            [(cv, t, total.tobytes(), change[cv]) for (cv, t), total in sums.items()], columns=["cv", "t", "sums", "delta"]
+        )
+
+    def solve(group):
+        import pandas as pd
 
-    rows = wide.mapInPandas(partial, "cv int, t int, pos int, s double, delta double")
-    return rows.groupBy("cv", "t", "pos").agg(F.sum("s").alias("s"), F.max("delta").alias("delta")).collect()
+        cv, t = int(group["cv"].iloc[0]), int(group["t"].iloc[0])
+        gram = np.zeros((d + 1, d + 1))
+        gram[upper] = sum(np.frombuffer(one) for one in group["sums"])
+        gram = np.triu(gram) + np.triu(gram, 1).T
+        start, n = model[cv][0], gram[0, 0]
+        mean = gram[0, 1:] / n
+        cross = gram[1:, 1:] - n * np.outer(mean, mean)
+        others = [i for i in range(d) if i != t]
+        w = np.zeros(d)
+        w[others] = bayes_ridge(cross[np.ix_(others, others)], cross[others, t], cross[t, t], n)
+        intercept = start[t] + mean[t] - w @ (start + mean)
+        return pd.DataFrame({"cv": [cv], "t": [t], "intercept": [intercept], "coef": [w], "delta": [group["delta"].max()]})
+
+    rows = wide.mapInPandas(partial, "cv int, t int, sums binary, delta double")
+    return rows.groupBy("cv", "t").applyInPandas(
+        solve, "cv int, t int, intercept double, coef array<double>, delta double"
+    ).collect()
 
 
 def fit_iterative(
@@ -107,32 +134,24 @@ def fit_iterative(
         targets[cv] = [i for i in range(d) if n[i] > 0 and any(r[f"g{i}"] for r in rest)]
         limit[cv] = tol * max([r[f"x{i}"] or 0.0 for r in rest for i in range(d)] + [0.0])
     open_cv = {cv: t for cv, t in targets.items() if t}
-    upper = np.triu_indices(d + 1)
+    last: dict[int, list[float]] = {cv: [] for cv in open_cv}
     for step in range(max_iter):
         if not open_cv:
             break
-        sums: dict[tuple[int, int], np.ndarray] = {}
-        delta: dict[int, float] = {}
-        for r in _round_sums(df, features, model, open_cv):
-            gram = sums.setdefault((r["cv"], r["t"]), np.zeros((d + 1, d + 1)))
-            i, j = upper[0][r["pos"]], upper[1][r["pos"]]
-            gram[i, j] = gram[j, i] = r["s"]
-            delta[r["cv"]] = max(delta.get(r["cv"], 0.0), r["delta"])
+        solved = _round_sums(df, features, model, open_cv)
         if step:
-            open_cv = {cv: t for cv, t in open_cv.items() if delta.get(cv, 0.0) >= limit[cv]}
-        for cv, todo in open_cv.items():
+            for cv in list(open_cv):
+                change = last[cv] = [*last[cv][-2:], max([r["delta"] for r in solved if r["cv"] == cv] + [0.0])]
+                grows = len(change) == 3 and change[0] < change[1] < change[2]
+                if change[-1] < limit[cv] or grows:
+                    del open_cv[cv]
+        for cv in open_cv:
             start, rounds = model[cv]
-            weights, intercepts = np.zeros((d, d)), start.copy()
-            for t in todo:
-                gram = sums[cv, t]
-                n = gram[0, 0]
-                mean = gram[0, 1:] / n
-                cross = gram[1:, 1:] - n * np.outer(mean, mean)
-                others = [i for i in range(d) if i != t]
-                w = bayes_ridge(cross[np.ix_(others, others)], cross[others, t], cross[t, t], n)
-                weights[t, others] = w
-                intercepts[t] = start[t] + mean[t] - w @ (start[others] + mean[others])
-            rounds.append((weights, intercepts))
+            rounds.append((np.zeros((d, d)), start.copy()))
+        for r in solved:
+            if r["cv"] in open_cv:
+                weights, intercepts = model[r["cv"]][1][-1]
+                weights[r["t"]], intercepts[r["t"]] = r["coef"], r["intercept"]
     rows = []
     for cv, (start, rounds) in model.items():
         rows += [(cv, 0, f, float(start[i]), None) for i, f in enumerate(features)]

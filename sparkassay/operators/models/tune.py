@@ -36,11 +36,11 @@ def cv_score(rows: DataFrame, algorithm: str, roles: Roles, features: list[str],
 
 
 def sweep(
-    train: DataFrame, algorithm: str, roles: Roles, features: list[str], n_trials: int = 100, timeout: float = 900.0,
+    train: DataFrame, algorithm: str, roles: Roles, features: list[str], n_trials: int = 100, timeout: float | None = None,
     metric: str = "balanced_accuracy", seed: int = 42, space: dict | None = None, parallel: int = 4,
 ) -> DataFrame:
     """Trials ``(trial, params, score, status)``. Draws are seeded and numbered, so the table does not
-    depend on which trial ends first; none starts after the time limit, a bad combination is skipped."""
+    depend on which trial ends first; a failing combination is recorded, and none starts after a time limit, if given."""
     space = SPACES[algorithm] if space is None else space
     rng = random.Random(seed)
     if is_single(space):
@@ -48,16 +48,18 @@ def sweep(
         return train.sparkSession.createDataFrame([(0, json.dumps(only), None, "single")], TRIALS)
     rows = cut_lineage(inner_folds(train, seed, roles), "inner")
     draws = [draw(space, rng) for _ in range(n_trials)]
-    deadline = time.time() + timeout
+    deadline = float("inf") if timeout is None else time.time() + timeout
 
     def trial(number: int):
         if time.time() > deadline:
             return (number, json.dumps(draws[number]), None, "not started")
         try:
             value = cv_score(rows, algorithm, roles, features, draws[number], metric, seed)
-            return (number, json.dumps(draws[number]), float(value), "done")
-        except ValueError as err:
-            return (number, json.dumps(draws[number]), None, f"failed: {err}")
+        except Exception as err:  # Spark's errors of invalid parameters are of several kinds
+            return (number, json.dumps(draws[number]), None, f"failed: {str(err)[:500]}")
+        if value is None or value != value:
+            return (number, json.dumps(draws[number]), None, "failed: no score")
+        return (number, json.dumps(draws[number]), float(value), "done")
 
     with ThreadPoolExecutor(parallel) as pool:
         done = list(pool.map(inheritable_thread_target(trial), range(n_trials)))
@@ -65,13 +67,14 @@ def sweep(
 
 
 def best_params(trials: DataFrame) -> DataFrame:
-    """Parameters of the best trial, the earlier one on ties."""
+    """Parameters of the best trial that worked, the earlier one on ties; NULL if none did."""
+    trials = trials.where("status in ('done', 'single')")
     order = F.struct(F.coalesce("score", F.lit(-1.0)).alias("s"), (-F.col("trial")).alias("t"))
     return trials.agg(F.max_by("params", order).alias("params"), F.max("score").alias("score"))
 
 
 def train_one(
-    train: DataFrame, algorithm: str, roles: Roles, features: list[str], *, n_trials: int = 0, timeout: float = 900.0,
+    train: DataFrame, algorithm: str, roles: Roles, features: list[str], *, n_trials: int = 0, timeout: float | None = None,
     metric: str = "balanced_accuracy", seed: int = 42, subsample: int = 0, params: dict | None = None, space: dict | None = None,
 ) -> fm.Fitted:
     """Optional subsample, optional sweep, then the final fit."""
@@ -81,7 +84,10 @@ def train_one(
     chosen = dict(params or {})
     if n_trials and not is_single(SPACES[algorithm] if space is None else space):
         trials = sweep(rows, algorithm, roles, features, n_trials, timeout, metric, seed, space)
-        chosen.update(json.loads(best_params(trials).first()["params"]))
+        best = best_params(trials).first()["params"]
+        if best is None:
+            raise ValueError(f"no trial of {algorithm} worked: {trials.first()['status']}")
+        chosen.update(json.loads(best))
     return fm.fit(algorithm, rows, roles, features, chosen, seed)
 
 

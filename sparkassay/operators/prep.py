@@ -72,8 +72,8 @@ def apply_fill(df: DataFrame, fill: DataFrame, features: list[str], k: int = 100
 
 def needs_imputation(df: DataFrame, features: list[str]) -> DataFrame:
     """One row: missing cells among the features, and whether there are any."""
-    missing = sum((F.count_if(q(f).isNull()) for f in features), F.lit(0))
-    return df.agg(missing.cast("long").alias("missing")).withColumn("needed", F.col("missing") > 0)
+    gaps = F.aggregate(F.array(*[q(f).isNull().cast("int") for f in features]), F.lit(0), lambda a, x: a + x)
+    return df.agg(F.coalesce(F.sum(gaps), F.lit(0)).alias("missing")).withColumn("needed", F.col("missing") > 0)
 
 
 def fit_scaler(df: DataFrame, features: list[str], k: int, fill: DataFrame | None = None) -> DataFrame:

@@ -10,8 +10,6 @@ from sparkassay.functions.columns import q
 from sparkassay.functions.kernels import exact_quantiles, small_side, to_long
 from sparkassay.roles import Roles
 
-BUILTIN_PAIRS = 10  # beyond this one wide aggregate compiles to slow code
-
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
@@ -56,19 +54,36 @@ def unique_counts(df: DataFrame, columns: list[str] | None = None, approx: bool
         agg = df.agg(*[F.approx_count_distinct(q(c)).alias(f"c{i}") for i, c in enumerate(columns)])
         return _unpack(agg, columns, "column", "n_unique")
     typed = dict(df.dtypes)
-    numeric = all(typed[c] in ("int", "bigint", "smallint", "tinyint", "double", "float") for c in columns)
-    kind = "double" if numeric else "string"
-    wide = df.select(*[q(c).cast(kind).alias(c) for c in columns])
-    long = wide.unpivot([], [q(c) for c in columns], "column", "value")
-    return long.groupBy("column").agg(F.count_distinct("value").alias("n_unique"))
+    kinds: dict[str, list[str]] = {}
+    for c in columns:  # whole numbers beyond 2^53 stay apart, so each kind is counted in its own type
+        whole = typed[c] in ("int", "bigint", "smallint", "tinyint")
+        kinds.setdefault("bigint" if whole else "double" if typed[c] in ("double", "float") else "string", []).append(c)
+    out = None
+    for kind, names in kinds.items():
+        wide = df.select(*[q(c).cast(kind).alias(c) for c in names])
+        long = wide.unpivot([], [q(c) for c in names], "column", "value")
+        part = long.groupBy("column").agg(F.count_distinct("value").alias("n_unique"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def missing_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Missing cells per column, beside the total over all columns."""
     columns = columns or df.columns
-    agg = df.agg(*[F.coalesce(F.sum(q(c).isNull().cast("long")), F.lit(0)).alias(f"c{i}") for i, c in enumerate(columns)])
-    total = sum((F.col(f"c{i}") for i in range(len(columns))), F.lit(0).cast("long"))
-    return _unpack(agg, columns, "column", "missing", [total.alias("total_missing")])
+    gaps = missing_cells(df, columns)
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    counts = names.join(gaps, "column", "left").withColumn("missing", F.coalesce("missing", F.lit(0)))
+    return counts.withColumn("total_missing", F.sum("missing").over(Window.partitionBy()))
+
+
+def missing_cells(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``column, missing`` of the columns with a gap; each row adds the positions of its gaps, so width costs nothing."""
+    gaps = F.filter(
+        F.transform(F.array(*[q(c).isNull() for c in columns]), lambda gap, at: F.when(gap, at)), lambda at: at.isNotNull()
+    )
+    names = F.array(*map(F.lit, columns))
+    counted = df.select(F.explode(gaps).alias("at")).groupBy("at").agg(F.count(F.lit(1)).alias("missing"))
+    return counted.select(names[F.col("at")].alias("column"), "missing")
 
 
 def column_profile(df: DataFrame) -> DataFrame:
@@ -136,8 +151,8 @@ def kinds_dict(kinds: DataFrame) -> dict[str, list[str]]:
 def counts_summary(df: DataFrame, roles: Roles, kinds: DataFrame) -> DataFrame:
     """Instances, features by kind, missing cells of all columns and their share of rows x features."""
     n_features = len(roles.features(df))
-    missing = sum((F.count_if(q(c).isNull()) for c in df.columns), F.lit(0))
-    rows = df.agg(F.count(F.lit(1)).alias("instances"), missing.alias("missing_values"))
+    gaps = F.aggregate(F.array(*[q(c).isNull().cast("int") for c in df.columns]), F.lit(0), lambda a, x: a + x)
+    rows = df.agg(F.count(F.lit(1)).alias("instances"), F.coalesce(F.sum(gaps), F.lit(0)).alias("missing_values"))
     by_kind = kinds.agg(
         F.count_if(F.col("kind") == "categorical").alias("categorical_features"),
         F.count_if(F.col("kind") == "quantitative").alias("quantitative_features"),
@@ -189,25 +204,10 @@ def boxplot_stats(df: DataFrame, value: str, by: list[str], groups: int | None =
 
 
 def correlation_matrix(df: DataFrame, features: list[str]) -> DataFrame:
-    """Pearson correlation of every pair over the rows where both are present."""
-    pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1 :]]
-    if len(pairs) <= BUILTIN_PAIRS:
-        wide = df.select(*[q(f).cast("double").alias(f"f{i}") for i, f in enumerate(features)])
-        at = {f: f"f{i}" for i, f in enumerate(features)}
-        cells = [(a, b) for a, b in pairs] + [(a, a) for a in features]
-        agg = wide.agg(*[F.corr(at[a], at[b]).alias(f"c{i}") for i, (a, b) in enumerate(cells)])
-        rows = []
-        for i, (a, b) in enumerate(cells):
-            for x, y in {(a, b), (b, a)}:
-                rows.append(
-                    F.struct(F.lit(x).alias("feature_1"), F.lit(y).alias("feature_2"), F.col(f"c{i}").alias("corr"))
-                )
-        return agg.select(F.inline(F.array(*rows)))
-    return _correlation_from_moments(df, features)
-
-
-def _correlation_from_moments(df: DataFrame, features: list[str]) -> DataFrame:
-    """Many features: masked cross-products per Arrow batch, added up by Spark."""
+    """Pearson correlation of every pair over the rows where both are present; NULL where one is constant.
+
+    Masked cross-products per Arrow batch, added up by Spark.
+    """
     d = len(features)
     center = df.agg(*[F.avg(q(f).cast("double")).alias(f"c{i}") for i, f in enumerate(features)]).first()
     shift = [0.0 if v is None else float(v) for v in center]

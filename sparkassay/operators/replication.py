@@ -33,12 +33,16 @@ def prepare_replication(
     return prep.apply_prep(versions, fill, scaler, features, k)
 
 
-def apply_models(models: dict[tuple[int, str], Fitted], prepared: DataFrame, dataset: str) -> DataFrame:
-    """Predictions of every (fold, algorithm): one pass over the rows per fold."""
+def apply_models(models: dict[tuple[int, str], Fitted], prepared, dataset: str) -> DataFrame:
+    """Predictions of every (fold, algorithm): one pass over the rows per fold.
+
+    ``prepared`` is a frame that carries ``cv``, or a function that prepares the rows of one model index, so that no
+    row is copied for the other indexes.
+    """
     parts = []
     for fold in sorted({f for f, _ in models}):
         own = [m for (f, _), m in sorted(models.items(), key=lambda item: item[0]) if f == fold]
-        view = prepared.where(F.col("cv") == fold)
+        view = prepared(fold) if callable(prepared) else prepared.where(F.col("cv") == fold)
         parts.append(many_predictions(own, view, dataset, fold))
     out = parts[0]
     for part in parts[1:]:

@@ -17,11 +17,12 @@ def rank_scores(scores: DataFrame) -> DataFrame:
     return scores.withColumn("rank", F.row_number().over(order))
 
 
-def mean_scores(scores: DataFrame, top_n: int = 40) -> DataFrame:
-    """Mean score over folds; the best top_n of each algorithm."""
+def mean_scores(scores: DataFrame, top_n: int | None = None) -> DataFrame:
+    """Mean score over folds, ranked per algorithm; only the best top_n if asked for."""
     means = scores.groupBy("algorithm", "feature").agg(F.avg("score").alias("mean_score"))
     order = Window.partitionBy("algorithm").orderBy(F.desc("mean_score"), "feature")
-    return means.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top_n)
+    ranked = means.withColumn("rank", F.row_number().over(order))
+    return ranked if top_n is None else ranked.where(F.col("rank") <= top_n)
 
 
 def informative(scores: DataFrame) -> DataFrame:
@@ -43,16 +44,15 @@ def informative_counts(scores: DataFrame) -> DataFrame:
     )
 
 
-def cap_features(scores: DataFrame, max_features: int) -> DataFrame:
-    """At most max_features informative features per fold, taken in turn from each algorithm's ranking."""
+def cap_features(scores: DataFrame, max_features: int | None = None) -> DataFrame:
+    """Informative features per fold, taken in turn from each algorithm's ranking; at most max_features if given."""
     ranked = rank_scores(informative(scores)) if "rank" not in scores.columns else informative(scores)
     first = ranked.groupBy("fold", "feature").agg(F.min(F.struct("rank", "algorithm")).alias("turn"))
     order = Window.partitionBy("fold").orderBy("turn.rank", "turn.algorithm")
-    return (
-        first.withColumn("pick", F.row_number().over(order))
-        .where(F.col("pick") <= max_features)
-        .select("fold", "feature", "pick")
-    )
+    picked = first.withColumn("pick", F.row_number().over(order))
+    if max_features is not None:
+        picked = picked.where(F.col("pick") <= max_features)
+    return picked.select("fold", "feature", "pick")
 
 
 def select_fold_features(long: DataFrame, selected: DataFrame, groups: int | None = None) -> DataFrame:
@@ -61,7 +61,7 @@ def select_fold_features(long: DataFrame, selected: DataFrame, groups: int | Non
     return long.join(wanted, ["cv", "feature"], "left_semi")
 
 
-def select_features(long: DataFrame, scores: DataFrame, max_features: int = 2000, groups: int | None = None) -> DataFrame:
+def select_features(long: DataFrame, scores: DataFrame, max_features: int | None = None, groups: int | None = None) -> DataFrame:
     """Informative, capped, then applied to the long fold table."""
     return select_fold_features(long, cap_features(scores, max_features), groups)
 

@@ -47,19 +47,19 @@ class Settings:
     iterative_impute: bool = True
     scale: bool = True
     scorers: tuple[str, ...] = ("mi", "ms")
-    instance_subset: int = 2000
+    instance_subset: int | None = None  # all rows
     use_turf: bool = False
     turf_pct: float = 0.5
-    max_features: int = 2000
+    max_features: int | None = None
     filter_features: bool = True
     algorithms: tuple[str, ...] = ("NB", "LR", "DT")
     primary_metric: str = "balanced_accuracy"
     n_trials: int = 100
-    timeout: float = 900.0
+    timeout: float | None = None
     subsample: int = 0
     uniform_importance: bool = False
     n_repeats: int = 10
-    top_features: int = 20
+    top_features: int | None = None
     parallel: int = 4
     params: dict = field(default_factory=dict)
 
@@ -70,7 +70,7 @@ class Run:
     def __init__(self, spark: SparkSession, out: str, name: str, roles: Roles, settings: Settings):
         self.spark, self.name, self.settings = spark, name, settings
         self.path = f"{out.rstrip('/')}/{name}"
-        self.roles = Roles(roles.class_col, roles.inst_col, roles.match_col, "fold")
+        self.roles = Roles(roles.class_col, roles.inst_col or "instance", roles.match_col, "fold")
 
     def save(self, df: DataFrame, table: str) -> DataFrame:
         sinks.write_result(df, f"{self.path}/{table}")
@@ -85,7 +85,7 @@ class Run:
     # phase 1
     def explore(self, df: DataFrame) -> None:
         s = self.settings
-        df, self.roles = clean.ensure_instance(df, self.roles)
+        df, self.roles = clean.ensure_instance(df, self.roles, self.roles.inst_col)
         roles = self.roles
         with self.timed("exploratory"):
             rows = clean.drop_features(clean.drop_missing_class(df, roles), list(s.ignore))
@@ -172,9 +172,11 @@ class Run:
             with self.timed("multisurf"):
                 sample = None
                 for cv in range(s.k):
-                    rows = folds.instance_sample(self.view(cv), s.instance_subset, s.seed + cv, self.roles)
+                    rows = self.view(cv)
+                    if s.instance_subset is not None:
+                        rows = folds.instance_sample(rows, s.instance_subset, s.seed + cv, self.roles)
                     sample = rows if sample is None else sample.unionByName(rows)
-                options = {"inst": self.roles.inst_col, "class_col": self.roles.class_col, "rows_bound": s.instance_subset}
+                options = {"inst": self.roles.inst_col, "class_col": self.roles.class_col}
                 scorer = importance.turf if s.use_turf else importance.multisurf
                 extra = {"pct": s.turf_pct} if s.use_turf else {}
                 ms = scorer(sample, kinds, **extra, **options)
@@ -195,7 +197,10 @@ class Run:
             self.save(selection.mean_scores(scores), "mean_scores")
             chosen = self.save(selection.cap_features(scores, s.max_features), "selected")
         lists = selection.selected_lists(chosen, features)
-        return {cv: lists.get(cv) or features for cv in range(s.k)}
+        without = [cv for cv in range(s.k) if not lists.get(cv)]
+        if without:
+            raise ValueError(f"no informative feature in model indexes {without}; set filter_features=False to use all")
+        return {cv: lists[cv] for cv in range(s.k)}
 
     # phase 5
     def model(self, chosen: dict[int, list[str]]) -> dict[tuple[int, str], fm.Fitted]:
@@ -254,14 +259,16 @@ class Run:
         """Score and summarise new data with the stored state and models."""
         s = self.settings
         features = self.roles.features(self.table())
+        df = clean.ensure_instance(df, self.roles, self.roles.inst_col)[0]
         rows = clean.align_to(features, clean.drop_missing_class(df, self.roles), self.roles)
         if models is None:
             models = {
                 (cv, a): fm.load(self.spark, f"{self.path}/models/{a}_{cv}")
                 for cv in range(s.k) for a in s.algorithms if self._has(f"models/{a}_{cv}")
             }
-        versions = rows.withColumn("cv", F.explode(F.sequence(F.lit(0), F.lit(s.k - 1))))
-        pred = replication.apply_models(models, self.prepared(versions, features), rep_name)
+        pred = replication.apply_models(
+            models, lambda cv: self.prepared(rows.withColumn("cv", F.lit(cv)), features), rep_name
+        )
         pred = self.save(pred, f"applymodel/{rep_name}/predictions")
         out = {
             **replication.profile_replication(rows, self.roles, self.load("kinds")),

@@ -8,29 +8,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from sparkassay.functions.columns import q
+
 
 def read_dataset(
     spark: SparkSession, path: str, sep: str | None = None, schema: StructType | str | None = None,
     sampling_ratio: float = 1.0,
 ) -> DataFrame:
-    """A table with a header: comma for .csv, tab for other text; empty and NA are missing.
+    """A table with a header: comma for .csv, tab for other text; empty, NA and NaN are missing.
 
     Give a schema, or a sampling ratio, for large text files; parquet and ORC carry theirs.
     """
     ending = posixpath.splitext(path.rstrip("/"))[1].lower()
     if ending in (".parquet", ".orc"):
-        return spark.read.format(ending[1:]).load(path)
+        return without_nan(spark.read.format(ending[1:]).load(path))
     reader = spark.read.option("header", True).option("nullValue", "NA")
     reader = reader.option("sep", sep or ("," if ending == ".csv" else "\t"))
     if schema is not None:
-        return reader.schema(schema).csv(path)
-    return reader.option("inferSchema", True).option("samplingRatio", sampling_ratio).csv(path)
+        return without_nan(reader.schema(schema).csv(path))
+    return without_nan(reader.option("inferSchema", True).option("samplingRatio", sampling_ratio).csv(path))
+
+
+def without_nan(df: DataFrame) -> DataFrame:
+    """NaN becomes missing in every float column."""
+    new = {n: F.when(~F.isnan(q(n)), q(n)) for n, kind in df.dtypes if kind in ("double", "float")}
+    return df.withColumns(new) if new else df
 
 
 def read_datasets(spark: SparkSession, folder: str, **options) -> dict[str, DataFrame]:
-    """Every .csv/.txt of a folder by base name; only file names are listed, contents stay unread."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.{csv,txt}").load(folder)
-    paths = sorted(r["path"] for r in files.select("path").collect())
+    """Every .csv/.txt of a folder by base name, files and folders of parts alike; only names are listed."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    listed = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    names = [one.getPath().toString() for one in listed]
+    paths = sorted(name for name in names if posixpath.splitext(name)[1].lower() in (".csv", ".txt"))
     if not paths:
         raise ValueError(f"no .csv or .txt data set in {folder}")
     found: dict[str, DataFrame] = {}

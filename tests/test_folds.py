@@ -68,3 +68,9 @@ def test_expand(folded):
     assert folds.train_rows(folded, 3).where("fold = cv").count() == 0
     inner = folds.inner_folds(folded.where("fold <> 0"), 1, ROLES)
     assert set(inner.select("inner_fold").distinct().toPandas()["inner_fold"]) == {0, 1, 2}
+
+
+def test_reserved_names_are_refused(spark, table):
+    for name in ("fold", "cv", "part"):
+        with pytest.raises(ValueError, match=name):
+            folds.random_folds(table.withColumnRenamed("a", name), 3, 1, ROLES)

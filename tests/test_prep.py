@@ -100,3 +100,21 @@ def test_complete_data_need_no_rounds(spark):
     df = spark.createDataFrame([(i % 2, float(i), 2.0 * i) for i in range(10)], "fold int, a double, b double")
     assert not prep.needs_imputation(df, ["a", "b"]).first()["needed"]
     assert iterative.fit_iterative(df, ["a", "b"], 2).where("round > 0").count() == 0
+
+
+def test_iterative_stays_in_range_with_negative_correlations(spark):
+    rng = np.random.default_rng(0)
+    cov = np.full((4, 4), -0.31) + np.eye(4) * 1.31
+    x = rng.multivariate_normal(np.full(4, 10.0), cov, 1000)
+    x[:300, :3] = np.nan
+    rows = [(i % 2, *[None if np.isnan(v) else float(v) for v in row]) for i, row in enumerate(x)]
+    df = spark.createDataFrame(rows, "fold int, a double, b double, c double, d double")
+    state = iterative.fit_iterative(df, ["a", "b", "c", "d"], 2)
+    full = iterative.apply_iterative(folds.expand_folds(df, 2), state, ["a", "b", "c", "d"]).toPandas()
+    assert np.abs(full[["a", "b", "c", "d"]].to_numpy() - 10.0).max() < 5.0
+
+
+def test_needs_imputation_of_a_wide_table(spark):
+    names = [f"x{i}" for i in range(3000)]
+    df = spark.range(3).selectExpr(*[f"cast(if(id = {i % 3}, null, id) as double) as {n}" for i, n in enumerate(names)])
+    assert prep.needs_imputation(df, names).first()["missing"] == 3000

@@ -65,15 +65,30 @@ def test_histogram_flat_and_closed_end(spark):
 
 
 def test_correlations_agree(spark, table):
-    """Built-in pairs, summed cross-products and numpy on pairwise complete rows."""
+    """Summed cross-products and pandas on pairwise complete rows."""
     cols = ["a", "b", "noise"]
-    builtin = {(r["feature_1"], r["feature_2"]): r["corr"] for r in profile.correlation_matrix(table, cols).collect()}
-    summed = {(r["feature_1"], r["feature_2"]): r["corr"] for r in profile._correlation_from_moments(table, cols).collect()}
+    found = {(r["feature_1"], r["feature_2"]): r["corr"] for r in profile.correlation_matrix(table, cols).collect()}
     x = table.select(*cols).toPandas().corr()
     for i in cols:
         for j in cols:
-            assert builtin[i, j] == pytest.approx(x.loc[i, j])
-            assert summed[i, j] == pytest.approx(x.loc[i, j])
+            assert found[i, j] == pytest.approx(x.loc[i, j])
+
+
+@pytest.mark.parametrize("n", [3, 6])
+def test_correlation_with_a_constant_is_missing(spark, n):
+    names = [f"x{i}" for i in range(n)]
+    df = spark.range(20).selectExpr("7.0D AS x0", *[f"cast(id % {i + 2} as double) AS x{i}" for i in range(1, n)])
+    found = {(r["feature_1"], r["feature_2"]): r["corr"] for r in profile.correlation_matrix(df, names).collect()}
+    assert len(found) == n * n and found["x0", "x1"] is None and found["x1", "x1"] == pytest.approx(1.0)
+
+
+def test_large_whole_numbers_and_wide_tables(spark):
+    df = spark.createDataFrame([(2**53, 1.0), (2**53 + 1, 1.0)], "big long, d double")
+    assert {r["column"]: r["n_unique"] for r in profile.unique_counts(df).collect()} == {"big": 2, "d": 1}
+    names = [f"x{i}" for i in range(3000)]
+    wide = spark.range(2).selectExpr(*[f"if(id = 0, null, {i}) AS {n}" for i, n in enumerate(names)])
+    rows = profile.missing_counts(wide).collect()
+    assert len(rows) == 3000 and {(r["missing"], r["total_missing"]) for r in rows} == {(1, 3000)}
 
 
 def test_chi2_yates_and_degenerate(spark):
