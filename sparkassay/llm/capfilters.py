@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,7 +18,7 @@ from sparkassay.session import cut_lineage
 #: code depend on each other, so many codes with one shared filter miss far fewer pairs than one code with many.
 CODES, SHARED = 16, 1.0
 #: Random vectors that share a filter with a vector, in expectation.
-CHANCE = 1.0
+CHANCE = 0.3
 #: Filters per vector and code at most, in expectation; few dimensions or many rows would ask for more.
 PER_VECTOR = 5.0
 #: Members of a filter that one task compares with each other or with another such part.
@@ -117,28 +118,51 @@ def spread(links: np.ndarray) -> np.ndarray:
         label = least
 
 
-def compare(group: pd.DataFrame, cosine: float) -> pd.DataFrame:
-    """Links inside a part of a filter, or between two parts: per member the rows it links, and a link to its root."""
-    filter_id = int(group["filter"].iloc[0])
-    group = group.sort_values("id", ignore_index=True)
-    rows = np.stack(group["vector"].to_numpy()).astype(float)
-    same = group["part_a"].iloc[0] == group["part_b"].iloc[0]
-    part = group["part"].to_numpy()
+def compare(filter_id: int, ids: np.ndarray, rows: np.ndarray, part: np.ndarray | None, filters, copies: np.ndarray, cosine: float):
+    """Links inside a part of a filter, or between two parts: the members that have some, with their roots and counts."""
     out = linked(rows, rows, cosine)
     np.fill_diagonal(out, False)
-    if not same:
+    if part is not None:
         out &= part[:, None] != part[None, :]
-    lists = [np.asarray(own) for own in group["filters"]]
-    ids, copies = group["id"].to_numpy(), group["copies"].to_numpy()
-    root = ids[spread(out)]
     busy = np.flatnonzero(out.any(axis=1))
-    counts = np.zeros(len(ids), np.int64)
-    if len(busy):
-        own = [lists[at] for at in busy]
-        inner = out[np.ix_(busy, busy)] & ~shared_before(own, own, filter_id)
-        counts[busy] = inner @ copies[busy]
-    found = pd.DataFrame({"id": ids, "root": root, "links": counts})
-    return found[(found["links"] > 0) | (found["id"] != found["root"])]
+    if not len(busy):
+        return None
+    ids, copies, out = ids[busy], copies[busy], out[np.ix_(busy, busy)]
+    own = [filters[at] for at in busy]
+    counts = (out & ~shared_before(own, own, filter_id)) @ copies
+    return ids, ids[spread(out)], counts
+
+
+def compare_sorted(batches: Iterator[pd.DataFrame], cosine: float) -> Iterator[pd.DataFrame]:
+    """The runs of rows of one filter and pair of parts, in batches that are sorted by them and by id."""
+    keys = ["size", "filter", "part_a", "part_b"]
+    rest, last = None, False
+    batches = iter(batches)
+    while not last:
+        batch = next(batches, None)
+        last = batch is None
+        batch = rest if last else batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        if batch is None or not len(batch):
+            continue
+        key = batch[keys].to_numpy()
+        starts = np.append(0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1)
+        ends = np.append(starts[1:], len(batch))
+        if not last:  # the last run may go on
+            rest = batch.iloc[starts[-1] :].reset_index(drop=True)
+            starts, ends = starts[:-1], ends[:-1]
+        ids, copies, part = (batch[c].to_numpy() for c in ("id", "copies", "part"))
+        vectors, filters = batch["vector"].to_numpy(), batch["filters"].to_numpy()
+        out = []
+        for a, b in zip(starts.tolist(), ends.tolist()):
+            if b - a < 2:
+                continue
+            rows = np.stack(vectors[a:b]).astype(float)
+            two = part[a:b] if key[a, 2] != key[a, 3] else None
+            found = compare(int(key[a, 1]), ids[a:b], rows, two, filters[a:b], copies[a:b], cosine)
+            if found is not None:
+                out.append(np.column_stack(found))
+        if out:
+            yield pd.DataFrame(np.concatenate(out), columns=["id", "root", "links"])
 
 
 def near_vectors(
@@ -203,8 +227,9 @@ def near_vectors(
         F.greatest("part", "other").alias("part_b"),
     )
     busy = busy.join(distinct.select("rep", "vector", "copies"), "rep").withColumnRenamed("rep", "id")
-    found = busy.groupBy("size", "filter", "part_a", "part_b").applyInPandas(
-        lambda group: compare(group, cosine), "id long, root long, links long"
+    order = ["size", "filter", "part_a", "part_b"]
+    found = busy.repartition(*order).sortWithinPartitions(*order, "id").mapInPandas(
+        lambda batches: compare_sorted(batches, cosine), "id long, root long, links long"
     )
     found = cut_lineage(found, "found")
     component = components(found.where("id <> root"), "id", "root")

@@ -136,4 +136,32 @@ SELECT * FROM used
 UNION ALL SELECT doc_id, size, source_size, target, 0 FROM placed WHERE size = 0
 """
 
-ORACLES = {"op6_source_schedule": OP6_SQL}
+OP1_SQL = """
+WITH good AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM good q JOIN good c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 100 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 10
+"""
+
+OP8_SQL = """
+WITH RECURSIVE good AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+degrees AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+roots AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(r.b, vec_id)) AS component_id,
+       vec_id <= coalesce(r.b, vec_id) AS kept
+FROM embeddings LEFT JOIN degrees d ON d.a = vec_id LEFT JOIN roots r ON r.a = vec_id
+"""
+
+ORACLES = {"op1_kdtree_search": OP1_SQL, "op6_source_schedule": OP6_SQL, "op8_cap_filters": OP8_SQL}
