@@ -115,14 +115,17 @@ def label_model(votes: np.ndarray, labels: np.ndarray, rounds: int = 40) -> tupl
 
 def fit_linear(x: np.ndarray, target: np.ndarray, penalty: float = 1.0, rounds: int = 25) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels by Newton steps."""
-    x = np.column_stack([x, np.ones(len(x))])
-    ridge = np.full(x.shape[1], penalty)
+    size = x.shape[1] + 1
+    ridge = np.full(size, penalty)
     ridge[-1] = 1e-6
-    weights = np.zeros(x.shape[1])
+    weights = np.zeros(size)
     for _ in range(rounds):
-        p = 1.0 / (1.0 + np.exp(-np.clip(x @ weights, -30, 30)))
-        slope = x.T @ (target - p) - ridge * weights
-        curve = (x * (p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(ridge)
+        slope, curve = -ridge * weights, np.diag(ridge)
+        for at in range(0, len(x), 2000):
+            own = np.column_stack([x[at : at + 2000].astype(float), np.ones(len(x[at : at + 2000]))])
+            p = 1.0 / (1.0 + np.exp(-np.clip(own @ weights, -30, 30)))
+            slope = slope + own.T @ (target[at : at + 2000] - p)
+            curve = curve + (own * (p * (1 - p) + 1e-9)[:, None]).T @ own
         step = np.linalg.solve(curve, slope)
         weights += step * min(1.0, 5.0 / (np.abs(step).max() + 1e-12))
         if np.abs(step).max() < 1e-6:
@@ -172,12 +175,14 @@ def fit(docs: DataFrame, labels: DataFrame, *, id_col: str, text_col: str, label
 
     def describe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"features": [model.features(text) for text in batch["text"]], "label": batch["label"]})
+            packed = [model.features(text).astype("<f4").tobytes() for text in batch["text"]]
+            yield pd.DataFrame({"features": packed, "label": batch["label"]})
 
-    rows = sample.mapInPandas(describe, "features array<double>, label int").toPandas()  # bounded by fit_rows
-    x, y = np.stack(rows["features"].to_numpy()), (rows["label"].to_numpy() > 0).astype(float)
+    rows = sample.mapInPandas(describe, "features binary, label int").toPandas()  # bounded by fit_rows
+    y = (rows["label"].to_numpy() > 0).astype(float)
+    x = np.frombuffer(b"".join(rows.pop("features")), "<f4").reshape(len(rows), -1)
     voters = [*range(min(VOTERS, len(lexicon))), *range(len(lexicon), x.shape[1])]
-    chance, rates = label_model(x[:, voters] >= np.log(2.0), y)
+    chance, rates = label_model(x[:, voters] >= np.float32(np.log(2.0)), y)
     weights, intercept = fit_linear(x, chance)
     names = [*lexicon[:VOTERS], *PATTERNS, "annotators"]
     accuracy = {name: (float(a), float(b)) for name, a, b in zip(names, rates[0], rates[1])}
