@@ -32,7 +32,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     classes = cut_lineage(near_documents(docs), "classes")
     gone = classes.where(~F.col("kept")).select("doc_id").distinct()
     again = classes.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
-    left = docs.join(gone, "doc_id", "left_anti")
+    # a merge join at every size, so that nothing that grows with the corpus is broadcast
+    left = docs.join(gone.hint("merge"), "doc_id", "left_anti")
+    if again.isEmpty():
+        return left.select(docs.columns)
     first = Window.partitionBy("doc_id").orderBy("text", "source")
     repeated = left.join(again, "doc_id", "left_semi").withColumn("nth", F.row_number().over(first)).where("nth = 1")
     once = left.join(again, "doc_id", "left_anti")
@@ -61,7 +64,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     copies = F.when(F.col("size") == 0, 1).otherwise(F.col("copies"))
     taken = taken.groupBy(F.col("doc_id").alias("own_id")).agg(F.max(copies).cast("int").alias("copies"))
     taken = cut_lineage(taken.where("copies > 0"), "copies")
-    mixed = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("own_id")))
+    mixed = docs.join(taken.hint("merge"), F.col("doc_id").eqNullSafe(F.col("own_id")))
     return mixed.select(*docs.columns, F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy")).drop("copy")
 
 
