@@ -63,21 +63,29 @@ class Fenwick:
 
 def chains(x: np.ndarray, y: np.ndarray, width: int, gap: float, least: int, reach: int) -> list[list[int]]:
     """Chains of matches that rise in both texts. A match scores the words it adds, and ``gap`` is paid for every word
-    between neighbours in either text; with costs linear in both, the best predecessor is a prefix maximum."""
+    between neighbours in either text; with costs linear in both, the best predecessor is a prefix maximum. Where that
+    one lies more than ``reach`` words back, the matches within reach are looked through instead."""
     order = np.lexsort((y, x))
     x, y = x[order].astype(int), y[order].astype(int)
     places = np.unique(y)
     rank = np.searchsorted(places, y)
     tree, score, back = Fenwick(len(places)), np.zeros(len(x)), np.full(len(x), -1)
     waiting: list[int] = []
+    low = 0
     for at in range(len(x)):
+        while x[at] - x[low] > reach:
+            low += 1
         if waiting and x[waiting[0]] != x[at]:  # matches of one position do not follow each other
             for other in waiting:
                 tree.put(int(rank[other]), (score[other] + gap * (x[other] + y[other]), other))
             waiting = []
         value, before = tree.get(int(rank[at]))
         score[at] = width
-        if before >= 0 and x[at] - x[before] <= reach and y[at] - y[before] <= reach:
+        if before >= 0 and (x[at] - x[before] > reach or y[at] - y[before] > reach):
+            last = waiting[0] if waiting else at
+            near = low + np.flatnonzero((y[low:last] < y[at]) & (y[at] - y[low:last] <= reach))
+            value, before = max(((score[i] + gap * (x[i] + y[i]), int(i)) for i in near), default=(-1e18, -1))
+        if before >= 0:
             added = min(width, x[at] - x[before], y[at] - y[before])
             joined = value - gap * (x[at] + y[at]) + added
             if joined > score[at]:

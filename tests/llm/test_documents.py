@@ -244,6 +244,19 @@ def test_fenwick_chain_is_the_best_chain():
     assert got[0] == [(int(a), int(a) + 7) for a in line]
 
 
+@pytest.mark.parametrize("between", [65, 80, 300, 1000])
+def test_second_passage_is_chained_behind_a_longer_one(spark, between):
+    first, second = np.arange(0, 200, 5), 205 + between + np.arange(0, 100, 5)
+    line = np.append(first, second)
+    got = chaining.chains(line, line + 3, 5, 0.1, 20, 64)
+    assert sorted(chain[0][0] for chain in got) == [0, second[0]] and sum(map(len, got)) == len(line)
+    one, two = prose(30, 200), prose(31, 60)
+    rows = [(i, f"{one} {prose(32 + i, between)} {two} {prose(40 + i, 30)}") for i in (1, 2)]
+    found = chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    texts = dict(rows)
+    assert sorted(texts[r["doc_id"]][r["start"] : r["end"]] for r in found) == sorted([one, two] * 2)
+
+
 @pytest.mark.parametrize("apply", [
     packing.best_fit_sequences, lambda d: mixing.mix_sources(d).documents, lambda d: personal.find_personal(d).documents,
     weighted_minhash.near_documents, chaining.repeated_passages,
