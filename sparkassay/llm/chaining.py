@@ -164,6 +164,16 @@ def grouped(batches: Iterator[pd.DataFrame], keys: list[str]) -> Iterator[pd.Dat
         yield rest
 
 
+def wanted_runs(shared: np.ndarray, size: int, width: int, window: int, long: int) -> np.ndarray:
+    """Starts of the runs of ``long`` words in which every window of seeds has a shared one, in a text of ``size`` words."""
+    at = np.unique(shared)
+    cuts = np.flatnonzero(np.diff(at) > window) + 1
+    out = np.zeros(max(0, size - long + 1), bool)
+    for first, last in zip(at[np.append(0, cuts)], at[np.append(cuts - 1, len(at) - 1)]):
+        out[max(0, first - window + 1) : max(0, last + window + width - long)] = True
+    return np.flatnonzero(out)
+
+
 def repeated_passages(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, window: int = 12,
     more_than: int = 50, least_chain: int = 20, gap: float = 0.1, reach: int = 64, identity: float = 0.8,
@@ -175,9 +185,14 @@ def repeated_passages(
     are joined to its first place (smallest document, then position), so a passage in thousands of documents gives a
     match per place and not per pair; where a text repeats a seed, its n-th place also meets the first n-th place. The matches of two documents are chained with gap costs by a Fenwick tree; a
     chain of ``least_chain`` words or more is extended into the words around it and aligned, and stays if its share
-    of equal words reaches ``identity``. Aligned stretches of a document that overlap or touch are one passage, so a
-    passage whose seeds have different first places is put together again. ``start`` and ``end`` are code points,
-    ``with_id`` is the smallest other document of its stretches, ``identity`` their smallest share.
+    of equal words reaches ``identity``. Aligned stretches of a document that overlap or touch are one passage.
+    ``start`` and ``end`` are code points, ``with_id`` is the smallest other document of its stretches, ``identity``
+    their smallest share.
+
+    Seeds with scattered first places give no chain that is long enough. Therefore every run of ``least_chain`` words
+    (all positions, not thinned) that other documents repeat and that lies in no passage so far is joined again, to the
+    first place of the whole run, or to its last one from inside the first document; runs that continue each other are
+    one chain. As each such run is a chain of its own, every word of an exact repeat is found, whatever its seeds met.
 
     Texts are shuffled for documents with chains only. Null and empty texts have no passages, null ids take no part,
     of rows that repeat an id the smallest text counts, repeats inside one document do not, an empty table gives no
@@ -206,8 +221,8 @@ def repeated_passages(
     first = places.groupBy("seed").agg(F.min(F.struct("id", "at")).alias("first"), F.max("id").alias("last"))
     first = first.where(F.col("first.id") < F.col("last")).select("seed", F.col("first.id").alias("hub"), F.col("first.at").alias("hub_at"))
     first = cut_lineage(first, "hubs")
-    matches = places.join(first, "seed").where("id > hub").select("id", "hub", "at", "hub_at")
-    matches = matches.repartition("id").sortWithinPartitions("id", "hub")
+    met = cut_lineage(places.join(first, "seed").select("id", "hub", "at", "hub_at"), "met")
+    matches = met.where("id > hub").repartition("id").sortWithinPartitions("id", "hub")
 
     def chain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
@@ -224,7 +239,16 @@ def repeated_passages(
     columns = ["id", "hub", "x", "y", "x_end", "y_end"]
     chained = matches.mapInPandas(chain, "id long, hub long, x int, y int, x_end int, y_end int")
     chained = cut_lineage(chained, "chains")
-    used = chained.select("id").unionAll(chained.select(F.col("hub").alias("id"))).distinct()
+    long = max(least_chain, width + window - 1)
+
+    def dense(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            # whatever the text's length, some run of the needed length has to lie between the shared places
+            yield batch[[len(wanted_runs(at, int(max(at)) + width + window - 1, width, window, long)) > 0 for at in batch["shared"]]]
+
+    shared = met.groupBy("id").agg(F.collect_set("at").alias("shared"))
+    shared = cut_lineage(shared.mapInPandas(dense, "id long, shared array<int>"), "shared")
+    used = chained.select("id").unionAll(chained.select(F.col("hub").alias("id"))).unionAll(shared.select("id")).distinct()
     used = cut_lineage(texts.join(used, "id").groupBy("id").agg(F.min("text").alias("text")), "texts")
 
     def cut(begin: str, end: str, name: str):
@@ -241,12 +265,6 @@ def repeated_passages(
 
         return slices
 
-    kind = "id long, hub long, x int, y int, x_end int, y_end int, own binary"
-    sides = chained.join(used, "id").mapInPandas(cut("x", "x_end", "own"), kind)
-    sides = cut_lineage(sides, "sides")
-    sides = sides.join(used.withColumnRenamed("id", "hub"), "hub").select("id", *columns[1:], "own", "text")
-    sides = sides.mapInPandas(cut("y", "y_end", "other"), f"{kind}, other binary")
-
     def aligned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
@@ -255,22 +273,75 @@ def repeated_passages(
                 ends = (x + row.x_end - row.x, y + row.y_end - row.y)
                 one, two = np.frombuffer(row.own, np.uint64), np.frombuffer(row.other, np.uint64)
                 a, b, c, d, share = align(one, two, x, y, ends)
+                if share < identity:  # the chain without the words around it
+                    a, b, c, d = x, ends[0], y, ends[1]
+                    share = common(one[a:b], two[c:d]) / max(b - a, d - c)
                 if share >= identity:
                     out.append((row.id, row.hub, row.x - x + a, row.x - x + b, share))
                     out.append((row.hub, row.id, row.y - y + c, row.y - y + d, share))
             yield pd.DataFrame(out, columns=["id", "other", "from", "to", "share"])
 
-    stretches = sides.mapInPandas(aligned, "id long, other long, from int, to int, share double")
-    # at most a row per position of a document, however many documents share it
-    stretches = stretches.groupBy("id", "from").agg(F.max("to").alias("to"), F.min("other").alias("other"), F.min("share").alias("share"))
-    order = Window.partitionBy("id").orderBy("from")
-    before = F.max("to").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    stretches = stretches.withColumn("new", (before.isNull() | (F.col("from") > before)).cast("int"))
-    stretches = stretches.withColumn("passage", F.sum("new").over(order))
-    passages = stretches.groupBy("id", "passage").agg(
-        F.min("from").alias("from"), F.max("to").alias("to"), F.min("other").alias("with_id"), F.min("share").alias("identity")
-    ).where(F.col("to") - F.col("from") > more_than)
-    passages = cut_lineage(passages, "passages")
+    def stretches_of(chained: DataFrame) -> DataFrame:
+        kind = "id long, hub long, x int, y int, x_end int, y_end int, own binary"
+        sides = chained.join(used, "id").mapInPandas(cut("x", "x_end", "own"), kind)
+        sides = cut_lineage(sides, "sides")
+        sides = sides.join(used.withColumnRenamed("id", "hub"), "hub").select("id", *columns[1:], "own", "text")
+        sides = sides.mapInPandas(cut("y", "y_end", "other"), f"{kind}, other binary")
+        found = sides.mapInPandas(aligned, "id long, other long, from int, to int, share double")
+        # at most a row per position of a document, however many documents share it
+        found = found.groupBy("id", "from").agg(F.max("to").alias("to"), F.min("other").alias("other"), F.min("share").alias("share"))
+        return cut_lineage(found, "stretches")
+
+    def passages_of(stretches: DataFrame) -> DataFrame:
+        order = Window.partitionBy("id").orderBy("from")
+        before = F.max("to").over(order.rowsBetween(Window.unboundedPreceding, -1))
+        stretches = stretches.withColumn("new", (before.isNull() | (F.col("from") > before)).cast("int"))
+        stretches = stretches.withColumn("passage", F.sum("new").over(order))
+        return stretches.groupBy("id", "passage").agg(
+            F.min("from").alias("from"), F.max("to").alias("to"), F.min("other").alias("with_id"), F.min("share").alias("identity")
+        ).where(F.col("to") - F.col("from") > more_than)
+
+    def find_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for own, text, shared, begins, ends in batch.itertuples(index=False):
+                size = len(word_hashes(text))
+                at = wanted_runs(shared, size, width, window, long)
+                if not len(at):
+                    continue
+                inside = np.zeros(len(at), bool)
+                if begins is not None:
+                    begins, ends = np.sort(begins), np.sort(ends)
+                    nth = np.searchsorted(begins, at, side="right") - 1
+                    inside = (nth >= 0) & (at + long <= ends[nth])
+                yield pd.DataFrame({"run": shingle_hashes(text, long)[at].view(np.int64), "id": own, "at": at, "open": ~inside})
+
+    def joined_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            before = batch.shift()
+            new = (batch[["id", "hub", "lead"]] != before[["id", "hub", "lead"]]).any(axis=1) | (batch["at"] - before["at"] > long)
+            ends = batch["at"][np.append(new.to_numpy()[1:], True)[: len(batch)]].to_numpy()
+            out = batch[new].rename(columns={"at": "x"})
+            out["y"], out["x_end"] = out["x"] - out["lead"], ends + long
+            out["y_end"] = out["x_end"] - out["lead"]
+            yield out[columns]
+
+    stretches = stretches_of(chained)
+    spans = passages_of(stretches).groupBy("id").agg(F.collect_list("from").alias("begins"), F.collect_list("to").alias("ends"))
+    runs = used.join(shared, "id").join(spans, "id", "left").select("id", "text", "shared", "begins", "ends")
+    runs = cut_lineage(runs.mapInPandas(find_runs, "run long, id long, at int, open boolean"), "runs")
+    ends = runs.groupBy("run").agg(
+        F.min(F.struct("id", "at")).alias("first"), F.max(F.struct("id", "at")).alias("last"), F.max("open").alias("any")
+    ).where(F.col("any") & (F.col("first.id") < F.col("last.id"))).drop("any")
+    partner = F.when(F.col("id") > F.col("first.id"), F.col("first")).otherwise(F.col("last"))
+    again = runs.where("open").join(ends, "run").select("id", "at", partner.alias("to"))
+    again = again.select("id", "at", F.col("to.id").alias("hub"), (F.col("at") - F.col("to.at")).alias("lead"))
+    again = again.repartition("id").sortWithinPartitions("id", "hub", "lead", "at")
+    again = again.mapInPandas(joined_runs, "id long, hub long, x int, y int, x_end int, y_end int")
+    more = stretches_of(cut_lineage(again, "run-chains"))
+    stretches = stretches.unionByName(more).groupBy("id", "from").agg(
+        F.max("to").alias("to"), F.min("other").alias("other"), F.min("share").alias("share")
+    )
+    passages = cut_lineage(passages_of(stretches), "passages")
 
     def located(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, spans = None, None

@@ -257,6 +257,18 @@ def test_second_passage_is_chained_behind_a_longer_one(spark, between):
     assert sorted(texts[r["doc_id"]][r["start"] : r["end"]] for r in found) == sorted([one, two] * 2)
 
 
+def test_passages_whose_seeds_have_scattered_first_places(spark):
+    words = prose(50, 60).split()
+    rows = [(i, f"{prose(60 + i, 30)} {' '.join(words[6 * i : 6 * i + 10])} {prose(80 + i, 30)}") for i in range(10)]
+    rows += [(i, f"{prose(i, 40)} {' '.join(words)} {prose(i + 1, 40)}") for i in (900, 950)]
+    # the first document repeats the passage inside itself, too
+    rows += [(2000, f"{prose(2000, 40)} {BASE} {prose(2001, 40)} {BASE}"), (2001, f"{prose(2002, 40)} {BASE}")]
+    found = chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    texts = dict(rows)
+    got = sorted((r["doc_id"], texts[r["doc_id"]][r["start"] : r["end"]]) for r in found)
+    assert got == [(900, " ".join(words)), (950, " ".join(words)), (2000, BASE), (2000, BASE), (2001, BASE)]
+
+
 @pytest.mark.parametrize("apply", [
     packing.best_fit_sequences, lambda d: mixing.mix_sources(d).documents, lambda d: personal.find_personal(d).documents,
     weighted_minhash.near_documents, chaining.repeated_passages,
