@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -14,6 +15,8 @@ GOLDEN, UNIT = 1327217885, 2147483648
 WORD = r"[^\x20\x09-\x0D]+"
 #: Cells of the unit interval by which points meet the sources' stretches of it.
 CELLS = 1024
+#: A source has at least so many blocks (or one per word); a smaller one gets smaller blocks.
+LEAST_BLOCKS = 256
 
 
 @dataclass(frozen=True)
@@ -63,7 +66,8 @@ def mix_sources(
 
     A document's size is its number of words. The documents of a source, in the order of a hash of their ids, form a
     line of words that is cut into blocks of ``block_words`` (default: 2048, less if there were fewer than 2^17 blocks);
-    a long document lies in several. Slot ``i`` of the schedule is the point frac(i x golden ratio), which falls into
+    a long document lies in several. A source of fewer than ``LEAST_BLOCKS`` such blocks is cut into that many smaller
+    ones (at least a word each) and its share of the slots grows as its blocks shrink, so it also meets its target. Slot ``i`` of the schedule is the point frac(i x golden ratio), which falls into
     one source's stretch of the cumulative targets; the r-th slot of a source is its r-th block, starting again after
     the last, so every prefix of the schedule is close to the weights. No document is taken more than ``limit`` times.
 
@@ -87,36 +91,46 @@ def mix_sources(
     )
     total = sized.agg(F.sum("size")).first()[0] or 0
     words = block_words or max(1, min(2048, total // 2**17))
-    slots = -(-total // words)
 
     sources = sized.groupBy("source_key", "source").agg(F.sum("size").alias("source_size"))
     targets = source_targets(sources, weights, limit)
     targets = targets.withColumn(
         "source_key", F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), F.col("source")))
     )
+    finer = F.greatest(F.lit(1), F.floor(F.col("source_size") / LEAST_BLOCKS))
+    small = F.col("source_size") < LEAST_BLOCKS * words
+    targets = targets.withColumn("block_words", F.when(small, F.least(finer, F.lit(words))).otherwise(F.lit(words)).cast("long"))
+    targets = targets.withColumn("blocks", F.ceil(F.col("source_size") / F.col("block_words")))
+    # in words of a usual block; by the mean size of its blocks where a source has its own
+    targets = targets.withColumn("points", F.when(
+        F.col("block_words") < words, F.col("target") / F.col("source_size") * F.col("blocks") * words
+    ).otherwise(F.col("target")))
+    own = targets.agg(F.max(F.col("block_words") < words), F.sum("points")).first()
+    slots = math.ceil(own[1] / words) if own[0] else -(-total // words)
     # places of the documents in their source's line of words
     totals = sized.groupBy("source_key", "bucket").agg(F.sum("size").alias("in_bucket"))
     totals = totals.withColumn("before", running("in_bucket", ["source_key"], ["bucket"])).drop("in_bucket")
     placed = sized.withColumn("within", running("size", ["source_key", "bucket"], ["key", "id", "size"]))
     placed = placed.join(totals, ["source_key", "bucket"]).withColumn("begin", F.col("before") + F.col("within"))
-    placed = placed.join(targets.select("source_key", "source_size", "target"), "source_key")
+    placed = placed.join(targets.select("source_key", "source_size", "target", "block_words"), "source_key")
     facts = ["id", "source", "size", "source_size", "target"]
     full = placed.where(F.col("size") > 0).withColumn("end", F.col("begin") + F.col("size"))
     pieces = full.select(
-        "source_key", "begin", "end", *facts,
-        F.explode(F.sequence(F.floor(F.col("begin") / words), F.floor((F.col("end") - 1) / words))).alias("block"),
-    )
-    pieces = pieces.withColumn(
-        "words", F.least("end", (F.col("block") + 1) * words) - F.greatest("begin", F.col("block") * words)
+        "source_key", "begin", "end", *facts, "block_words",
+        F.explode(F.sequence(
+            F.floor(F.col("begin") / F.col("block_words")), F.floor((F.col("end") - 1) / F.col("block_words"))
+        )).alias("block"),
     )
+    low = F.col("block") * F.col("block_words")
+    pieces = pieces.withColumn("words", F.least("end", low + F.col("block_words")) - F.greatest("begin", low))
     # the schedule: points to sources, ranks per source, ranks to blocks
     bound = Window.orderBy("nth")
-    share = F.sum("target").over(bound) / F.sum("target").over(Window.partitionBy())
+    share = F.sum("points").over(bound) / F.sum("points").over(Window.partitionBy())
     stretches = targets.where("target > 0").withColumn("high", F.floor(share * UNIT))
     stretches = stretches.withColumn("low", F.coalesce(F.lag("high").over(bound), F.lit(0))).where("high > low")
     cell = UNIT // CELLS
     stretches = stretches.select(
-        "source_key", "low", "high", F.ceil(F.col("source_size") / words).alias("blocks"),
+        "source_key", "low", "high", "blocks",
         F.explode(F.sequence(F.floor(F.col("low") / cell), F.floor((F.col("high") - 1) / cell))).alias("cell"),
     )
     point = (F.col("id") % UNIT) * GOLDEN % UNIT

@@ -97,6 +97,14 @@ def test_mix_meets_targets_and_limits(spark, docs):
     assert collections.Counter(map(tuple, rows)) == collections.Counter(map(tuple, again))
 
 
+@pytest.mark.parametrize("size", [300, 600, 2100])
+def test_small_sources_meet_their_targets(spark, size):
+    rows = [(i, "big", "w " * 30_000) for i in range(100)] + [(200 + i, "small", "w " * (size // 10)) for i in range(10)]
+    table = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(4)
+    taken = mixing.mix_sources(table, block_words=2048).documents.where("source = 'small'").collect()
+    assert sum(r["taken"] for r in taken) == pytest.approx(3 * size, rel=0.02) and taken[0]["target"] == 3 * size
+
+
 def test_targets_reshare_the_excess(spark):
     sizes = spark.createDataFrame([("a", 1000), ("b", 10), (None, 10)], "source string, source_size long")
     got = {r["source"]: r["target"] for r in mixing.source_targets(sizes).collect()}
