@@ -104,6 +104,6 @@ def instance_sample(df: DataFrame, n: int, seed: int, roles: Roles) -> DataFrame
 
 
 def inner_folds(train: DataFrame, seed: int, roles: Roles, k: int = 3) -> DataFrame:
-    """Stratified folds inside a training set, in a column of their own."""
-    plain = train.drop("fold")
+    """Stratified folds inside a training set, in a column of their own; the outer fold columns go."""
+    plain = train.drop("fold", "cv", "part")
     return stratified_folds(plain, k, seed + 1, roles).withColumnRenamed("fold", "inner_fold")

@@ -111,7 +111,8 @@ def train_all(
 ) -> tuple[dict[tuple[int, str], fm.Fitted], DataFrame]:
     """Fit the fold x algorithm grid. ``views`` maps a fold to its prepared training rows and features.
 
-    Returns the models and a log ``(fold, algorithm, seconds, status)``; a failed run is logged, not raised.
+    Returns the models and a log ``(fold, algorithm, seconds, status)``; a failed run is logged, not raised, but an
+    algorithm that fails in every fold raises with the first reason.
     """
     spark = next(iter(views.values()))[0].sparkSession
     grid = [(fold, a) for fold in views for a in algorithms]
@@ -130,4 +131,8 @@ def train_all(
 
     with ThreadPoolExecutor(parallel) as pool:
         log = list(pool.map(inheritable_thread_target(run), grid))
+    for algorithm in algorithms:
+        if not any((fold, algorithm) in models for fold in views):
+            reason = next(row[3] for row in log if row[1] == algorithm)
+            raise RuntimeError(f"{algorithm} has no model in any fold; {reason}")
     return models, spark.createDataFrame(log, "fold int, algorithm string, seconds double, status string")

@@ -131,3 +131,16 @@ def test_shared_folder_comes_from_the_session(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+
+
+def test_tuned_run_fits_every_algorithm(spark, table):
+    """With trials, every (fold, algorithm) is tuned on inner folds of rows that carry ``cv`` and ends done."""
+    tuned = pipeline.Settings(
+        k=3, algorithms=("NB", "LR", "DT"), n_trials=1, scorers=("mi",), iterative_impute=False, n_repeats=1,
+        parallel=3,
+    )
+    run, models = pipeline.run_dataset(table, "tuned", ROLES, tuned, scratch_path(spark, "tuned"))
+    log = run.load("training_log").collect()
+    assert sorted((r["fold"], r["algorithm"]) for r in log) == sorted((f, a) for f in range(3) for a in ("NB", "LR", "DT"))
+    assert {r["status"] for r in log} == {"done"}
+    assert set(models) == {(f, a) for f in range(3) for a in ("NB", "LR", "DT")}
