@@ -6,7 +6,9 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkassay.llm import capfilters, chaining, kdtree, mixing, packing, personal, records, tagpaths, toxicity, weighted_minhash
+from sparkassay.llm import (
+    capfilters, chaining, fim, kdtree, mixing, packing, personal, records, tagpaths, toxicity, weighted_minhash,
+)
 from sparkassay.llm.common import table
 from sparkassay.session import scratch_path
 
@@ -67,6 +69,18 @@ def op4_collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chaining.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = fim.fill_in_middle(table(spark, sf_dir, "documents"))
+    plain = F.col("fim_form") == "plain"
+    return docs.select(
+        "doc_id", F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("n"), F.col("fim_form").alias("form"),
+        F.when(~plain, F.col("fim_lo")).alias("prefix_chars"),
+        F.when(~plain, F.col("fim_hi") - F.col("fim_lo")).alias("middle_chars"),
+        F.sha2("fim_output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("fim_output"), F.col("fim_form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_kdtree_search": op1_kdtree_search,
     "op2_bootstrapped_contexts": op2_bootstrapped_contexts,
@@ -78,6 +92,7 @@ QUERIES = {
     "op8_cap_filters": op8_cap_filters,
     "op9_tag_paths": op9_tag_paths,
     "op10_record_files": op10_record_files,
+    "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -164,4 +179,28 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(r.b, ve
 FROM embeddings LEFT JOIN degrees d ON d.a = vec_id LEFT JOIN roots r ON r.a = vec_id
 """
 
-ORACLES = {"op1_kdtree_search": OP1_SQL, "op6_source_schedule": OP6_SQL, "op8_cap_filters": OP8_SQL}
+OP13_SQL = """
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS hx
+  FROM documents),
+cut AS (
+  SELECT *, least(('0x' || substr(hx, 1, 8))::UBIGINT % (n + 1), ('0x' || substr(hx, 9, 8))::UBIGINT % (n + 1))::BIGINT AS lo,
+         greatest(('0x' || substr(hx, 1, 8))::UBIGINT % (n + 1), ('0x' || substr(hx, 9, 8))::UBIGINT % (n + 1))::BIGINT AS hi,
+         CASE WHEN n = 0 OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                   OR ('0x' || substr(hx, 17, 8))::UBIGINT % 100 >= 90 THEN 'plain'
+              WHEN ('0x' || substr(hx, 25, 8))::UBIGINT % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM hashed),
+parts AS (SELECT *, substring(t, 1, lo) AS pre, substring(t, lo + 1, hi - lo) AS mid, substring(t, hi + 1) AS suf FROM cut)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN lo END AS prefix_chars, CASE WHEN form <> 'plain' THEN hi - lo END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+ORACLES = {
+    "op1_kdtree_search": OP1_SQL, "op6_source_schedule": OP6_SQL, "op8_cap_filters": OP8_SQL,
+    "op13_fill_in_middle": OP13_SQL,
+}
