@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkassay.llm import (
-    capfilters, chaining, fim, kdtree, mixing, packing, personal, records, tagpaths, toxicity, weighted_minhash,
+    capfilters, chaining, fim, kdtree, mixing, packing, personal, records, resample, tagpaths, toxicity,
+    weighted_minhash,
 )
 from sparkassay.llm.common import table
 from sparkassay.session import scratch_path
@@ -69,6 +70,13 @@ def op4_collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chaining.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample.importance_resample(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep_text=False
+    )
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = fim.fill_in_middle(table(spark, sf_dir, "documents"))
     plain = F.col("fim_form") == "plain"
@@ -92,6 +100,7 @@ QUERIES = {
     "op8_cap_filters": op8_cap_filters,
     "op9_tag_paths": op9_tag_paths,
     "op10_record_files": op10_record_files,
+    "op12_importance_resampling": op12_importance_resampling,
     "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": corpus_pipeline.run,
 }
