@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkassay.llm import (
-    capfilters, chaining, fim, kdtree, mixing, packing, personal, records, resample, tagpaths, toxicity,
-    weighted_minhash,
+    capfilters, chaining, fim, kdtree, mixing, packing, personal, records, resample, secrets, tagpaths,
+    toxicity, weighted_minhash,
 )
 from sparkassay.llm.common import table
 from sparkassay.session import scratch_path
@@ -70,6 +70,16 @@ def op4_collinear_chaining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chaining.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op11_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("secret_base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id", *map(count, secrets.KINDS),
+        F.sha2(secrets.written(secrets.in_order(F.col("secret_base"))), 256).alias("base_sha256"),
+        secrets.written(secrets.in_order(F.concat("secret_base", "secret_added"))).alias("spans"),
+    )
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = resample.importance_resample(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), keep_text=False
@@ -100,6 +110,7 @@ QUERIES = {
     "op8_cap_filters": op8_cap_filters,
     "op9_tag_paths": op9_tag_paths,
     "op10_record_files": op10_record_files,
+    "op11_secret_novelty": op11_secret_novelty,
     "op12_importance_resampling": op12_importance_resampling,
     "op13_fill_in_middle": op13_fill_in_middle,
     "pipeline": corpus_pipeline.run,
