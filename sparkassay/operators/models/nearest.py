@@ -1,18 +1,31 @@
-"""K nearest neighbours: an exact top-k join by blocks.
+"""K nearest neighbours: exact, by metric cells.
 
-Training rows are cut into blocks by a hash of their label, rows to score into chunks;
-every chunk meets every block in a task of bounded size, which returns k candidates per
-row. The best k of all blocks give the vote. Neither side is collected or broadcast.
+Pivots are training rows chosen by a hash of their label (about one in ``CELL_ROWS``, at most ``MAX_PIVOTS`` and at
+most ``PIVOT_BYTES`` of numbers, so what is sent to the tasks has a fixed bound). Each training row belongs to the
+cell of its nearest pivot; a cell keeps its radius (largest distance of a member to the pivot) and its count, one
+small row per cell. For a row to score, the cell table alone gives an upper bound of its kth distance: cells sorted
+by ``d(q, pivot) + radius`` hold at least k rows within the bound where their counts first reach k. By the triangle
+inequality (Minkowski distances with p >= 1 are metrics) no row of a cell with ``d(q, pivot) - radius`` above that
+bound can be among the k nearest, so the row meets only the other cells. Large cells are cut into blocks of at most
+``BLOCK`` rows by a hash of the label, so no task holds more than a block, whatever a cell holds. Every (cell,
+block) returns k candidates per row; the best k over all of them give the vote, ties by label order.
+
+Neither side is collected; only pivots and the cell table (bounded as above) are sent to the tasks.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkassay.functions.columns import q
 
-TRAIN_BLOCK, TEST_CHUNK = 16_384, 4_096
+CELL_ROWS = 1024  # training rows per cell, on average
+MAX_PIVOTS = 2048
+PIVOT_BYTES = 32 << 20
+BLOCK = 16_384  # rows of one cell compared in one task at most
 SLICE = 64  # rows compared with a block at a time: keeps the work in the processor cache
 
 
@@ -25,11 +38,42 @@ def _distance(a, b, p: int):
     return total
 
 
-def _cut(df: DataFrame, features: list[str], inst: str, rows: int, size: int, extra: list) -> tuple[DataFrame, int]:
-    parts = max(1, -(-rows // size))
-    spot = F.pmod(F.xxhash64(q(inst)), F.lit(parts)).cast("int")
+def to_pivots(x: np.ndarray, pivots: np.ndarray, p: int) -> np.ndarray:
+    """Minkowski distances (rooted) of every row to every pivot, in slices of rows."""
+    out = np.empty((len(x), len(pivots)))
+    for at in range(0, len(x), SLICE):
+        out[at : at + SLICE] = _distance(x[at : at + SLICE, None, :], pivots[None, :, :], p) ** (1.0 / p)
+    return out
+
+
+def _vectors(df: DataFrame, features: list[str], inst: str, extra: list) -> DataFrame:
     x = F.array(*[q(f).cast("double") for f in features])
-    return df.select(q(inst).alias("id"), x.alias("x"), spot.alias("part"), *extra), parts
+    return df.select(q(inst).alias("id"), x.alias("x"), *extra)
+
+
+def choose_pivots(train: DataFrame, features: list[str], inst: str) -> np.ndarray:
+    """Distinct training vectors whose label hash falls in one of ``CELL_ROWS`` slots; the ``most`` first by hash."""
+    most = max(1, min(MAX_PIVOTS, PIVOT_BYTES // (8 * max(1, len(features)))))
+    h = F.xxhash64(F.lit("pivot"), q(inst))
+    x = F.array(*[q(f).cast("double") for f in features])
+    chosen = train.where(F.pmod(h, F.lit(CELL_ROWS)) == 0).select(x.alias("x"), h.alias("h")).orderBy("h").limit(most)
+    rows = chosen.collect() or train.select(x.alias("x"), h.alias("h")).orderBy("h").limit(1).collect()
+    if not rows:
+        return np.zeros((0, len(features)))
+    return np.unique(np.array([r["x"] for r in rows], dtype=float).reshape(len(rows), len(features)), axis=0)
+
+
+def candidate_cells(x: np.ndarray, pivots: np.ndarray, radius: np.ndarray, count: np.ndarray, k: int, p: int) -> list[np.ndarray]:
+    """For each row, the cells that can hold one of its k nearest training rows."""
+    near = to_pivots(x, pivots, p)
+    far = near + radius[None, :]
+    order = np.argsort(far, axis=1, kind="stable")
+    reach = np.cumsum(count[order], axis=1)
+    enough = np.argmax(reach >= k, axis=1)
+    bound = np.where(reach[:, -1] >= k, np.take_along_axis(far, order, 1)[np.arange(len(x)), enough], np.inf)
+    slack = 1e-9 * (np.abs(bound) + np.abs(near).max(axis=1, initial=0.0) + 1.0)
+    close = near - radius[None, :] <= (bound + slack)[:, None]
+    return [np.flatnonzero(row) for row in close]
 
 
 def predict(
@@ -37,19 +81,43 @@ def predict(
     inst: str = "inst_id", class_col: str = "class", out: str = "p",
 ) -> DataFrame:
     """Add ``out``: the weighted share of class 1 among the k nearest; equal distances by label order."""
-    sides = F.sequence
-    left, chunks = _cut(df, features, inst, df.count(), TEST_CHUNK, [])
-    right, blocks = _cut(train, features, inst, train.count(), TRAIN_BLOCK, [q(class_col).cast("double").alias("y")])
-    a = left.select("id", "x", F.col("part").alias("i"), F.explode(sides(F.lit(0), F.lit(blocks - 1))).alias("j"))
-    b = right.select(
-        F.col("id").alias("id_b"), F.col("x").alias("x_b"), "y",
-        F.explode(sides(F.lit(0), F.lit(chunks - 1))).alias("i_b"), F.col("part").alias("j_b"),
+    pivots = choose_pivots(train, features, inst)
+    if len(pivots) == 0:  # no training rows: no neighbours, no rows, as an inner join of votes gives
+        return df.withColumn(out, F.lit(None).cast("double")).limit(0)
+    right = _vectors(train, features, inst, [q(class_col).cast("double").alias("y")])
+
+    def assign(batches):
+        for part in batches:
+            x = np.array(part["x"].tolist(), dtype=float).reshape(len(part), len(features))
+            d = to_pivots(x, pivots, p)
+            cell = d.argmin(axis=1) if len(part) else np.zeros(0, int)
+            yield part.assign(cell=cell.astype("int32"), r=d[np.arange(len(part)), cell] if len(part) else 0.0)
+
+    kind, other = dict(df.dtypes)[inst], dict(train.dtypes)[inst]
+    cells_of = right.mapInPandas(assign, f"id {other}, x array<double>, y double, cell int, r double")
+    table = cells_of.groupBy("cell").agg(F.max("r").alias("radius"), F.count(F.lit(1)).alias("n")).collect()
+    radius, count, blocks = np.zeros(len(pivots)), np.zeros(len(pivots), np.int64), np.ones(len(pivots), np.int64)
+    for row in table:
+        radius[row["cell"]], count[row["cell"]] = row["radius"], row["n"]
+        blocks[row["cell"]] = -(-row["n"] // BLOCK)
+
+    def visit(batches):
+        for part in batches:
+            x = np.array(part["x"].tolist(), dtype=float).reshape(len(part), len(features))
+            cells = candidate_cells(x, pivots, radius, count, k, p) if len(part) else []
+            own = np.repeat(np.arange(len(part)), [len(c) for c in cells]).astype(int)
+            cell = np.concatenate(cells).astype("int32") if cells else np.zeros(0, "int32")
+            yield pd.DataFrame({"id": part["id"].to_numpy()[own], "x": part["x"].to_numpy()[own], "cell": cell})
+
+    left = _vectors(df, features, inst, []).mapInPandas(visit, f"id {kind}, x array<double>, cell int")
+    parts = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("cell") + 1)
+    a = left.select("id", "x", "cell", F.explode(F.sequence(F.lit(0), parts - 1)).alias("block"))
+    b = cells_of.select(
+        F.col("id").alias("id_b"), F.col("x").alias("x_b"), "y", F.col("cell").alias("cell_b"),
+        F.pmod(F.xxhash64(F.col("id")), parts).cast("int").alias("block_b"),
     )
 
     def nearest(rows, others):
-        import numpy as np
-        import pandas as pd
-
         if rows.empty or others.empty:
             return pd.DataFrame({"id": [], "d": [], "other": [], "y": []})
         others = others.sort_values("id_b")
@@ -57,7 +125,7 @@ def predict(
         label, y = others["id_b"].to_numpy(), others["y"].to_numpy()
         last = min(k, len(z)) - 1
         size = (z * z).sum(1)
-        out = []
+        found = []
         for at in range(0, len(x), SLICE):
             part = x[at : at + SLICE]
             if p == 2:  # products find the candidates, with room for rounding; exact sums decide
@@ -72,14 +140,12 @@ def predict(
             row, col, exact = row[order], col[order], exact[order]
             first = np.searchsorted(row, np.arange(len(part)))
             keep = np.arange(len(row)) - first[row] < k
-            out.append(pd.DataFrame({
+            found.append(pd.DataFrame({
                 "id": rows["id"].to_numpy()[at + row[keep]], "d": exact[keep], "other": label[col[keep]], "y": y[col[keep]],
             }))
-        return pd.concat(out, ignore_index=True)
+        return pd.concat(found, ignore_index=True)
 
-    kind = dict(df.dtypes)[inst]
-    other = dict(train.dtypes)[inst]
-    found = a.groupBy("i", "j").cogroup(b.groupBy("i_b", "j_b")).applyInPandas(
+    found = a.groupBy("cell", "block").cogroup(b.groupBy("cell_b", "block_b")).applyInPandas(
         nearest, f"id {kind}, d double, other {other}, y double"
     )
     order = Window.partitionBy("id").orderBy("d", "other")

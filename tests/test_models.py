@@ -51,10 +51,10 @@ def test_fit_predict_save_load(spark, train, held, algorithm, params):
     assert {r["inst_id"]: r["p"] for r in again} == pytest.approx({r["inst_id"]: r["p"] for r in out})
 
 
-@pytest.mark.parametrize("weights, p", [("uniform", 2), ("distance", 1)])
+@pytest.mark.parametrize("weights, p", [("uniform", 2), ("distance", 1), ("uniform", 3), ("distance", 4), ("uniform", 5)])
 def test_neighbours_brute_force(spark, train, held, monkeypatch, weights, p):
-    monkeypatch.setattr(nearest, "TRAIN_BLOCK", 37)
-    monkeypatch.setattr(nearest, "TEST_CHUNK", 11)
+    monkeypatch.setattr(nearest, "CELL_ROWS", 9)
+    monkeypatch.setattr(nearest, "BLOCK", 7)
     out = {r["inst_id"]: r["p"] for r in nearest.predict(train, held, FEATURES, 4, weights, p).collect()}
     a, b = train.orderBy("inst_id").toPandas(), held.toPandas()
     x, y = a[FEATURES].to_numpy(float), a["class"].to_numpy()
@@ -65,6 +65,23 @@ def test_neighbours_brute_force(spark, train, held, monkeypatch, weights, p):
         assert out[row["inst_id"]] == pytest.approx((w * y[best]).sum() / w.sum())
 
 
+def test_cells_cut_the_candidates():
+    """Rows in tight, distant clusters visit only the cells that can hold their k nearest; the bound is exact."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(0, 100, (20, 4))
+    train = np.concatenate([c + rng.normal(0, 1, (50, 4)) for c in centres])
+    pivots = train[rng.choice(len(train), 60, replace=False)]
+    cell = nearest.to_pivots(train, pivots, 2).argmin(1)
+    radius = np.array([nearest.to_pivots(train[cell == c], pivots[c : c + 1], 2).max(initial=0.0) for c in range(60)])
+    count = np.bincount(cell, minlength=60)
+    queries = centres + rng.normal(0, 1, (20, 4))
+    visited = nearest.candidate_cells(queries, pivots, radius, count, 5, 2)
+    assert sum(map(len, visited)) < 20 * 60 / 4
+    for row, cells in zip(queries, visited):
+        best = np.argsort(((train - row) ** 2).sum(1), kind="stable")[:5]
+        assert set(cell[best]) <= set(cells)
+
+
 def test_neighbours_at_distance_zero(spark, train):
     same = nearest.predict(train, train, FEATURES, 3, "distance", 2).collect()
     assert all(r["p"] in (0.0, 1.0) for r in same)
