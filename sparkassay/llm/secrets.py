@@ -9,7 +9,8 @@ that repeats text seen before cost a few bytes; keys, tokens and passwords made
 character. Candidates at or above ``NOVELTY`` are added as kind ``novel``.
 
 Spark counts the identifier words of all documents (map-side partial counts, one shuffle of distinct words) and keeps
-the ``DICT_WORDS`` most frequent as the dictionary, whose size is bounded by that parameter; words with digits never
+those at or above the count threshold that leaves at most ``DICT_WORDS`` of them, so the dictionary's size is bounded by
+that parameter; words with digits never
 enter it, so a secret repeated in many copies stays novel. Scanning runs in Arrow batches per task.
 
 Cases: a null text is empty (no spans); spans are in code points, end exclusive; a very long text costs time in
@@ -24,7 +25,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
@@ -88,11 +89,22 @@ def added_spans(
 
 
 def identifier_dictionary(docs: DataFrame, text_col: str, words: int) -> bytes:
-    """The ``words`` most frequent identifier words of all texts, most frequent last (nearest to the data)."""
+    """The identifier words of all texts whose count reaches the least count that keeps at most ``words`` of them,
+    most frequent last (nearest to the data).
+
+    The threshold comes from the histogram of counts (one row per distinct count, summed in Spark), so no more than
+    ``words`` words ever reach the driver, however many partitions or words there are.
+    """
     found = F.explode(F.regexp_extract_all(F.coalesce(F.col(text_col), F.lit("")), F.lit(IDENTIFIER), 0))
     counts = docs.select(found.alias("w")).groupBy("w").count()
-    top = counts.orderBy(F.desc("count"), "w").limit(words).collect()
-    return "\n".join(r["w"] for r in reversed(top)).encode()
+    hist = counts.groupBy(F.col("count").alias("c")).agg(F.count(F.lit(1)).alias("k"))
+    running = hist.withColumn("kept", F.sum("k").over(Window.orderBy(F.desc("c"))))
+    least = running.where(F.col("kept") <= words).agg(F.min("c").alias("c")).first()["c"]
+    if least is None:
+        return b""
+    top = counts.where(F.col("count") >= least).collect()
+    top.sort(key=lambda r: (r["count"], r["w"]))
+    return "\n".join(r["w"] for r in top).encode()
 
 
 def find_secrets(
