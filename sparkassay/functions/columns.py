@@ -11,6 +11,11 @@ def q(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def sql_name(name: str) -> str:
+    """A column name quoted for SQL text, whatever characters it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def clean_label(col) -> Column:
     """Drop the characters that are awkward in file or axis names."""
     return F.regexp_replace(col, "[ */]", "")

@@ -25,6 +25,26 @@ def small_side(df: DataFrame, rows: int | None) -> DataFrame:
     return df
 
 
+def vector_state(
+    state: DataFrame, features: list[str], values: dict[str, str], keys: list[str], rows: int | None
+) -> DataFrame:
+    """Long state ``(keys..., feature, value columns)`` as one row per key: an array per value whose element i
+    belongs to ``features[i]`` (null where the state has no row), so that its use is one array expression
+    instead of one expression per feature. ``rows`` is an upper limit of the number of keys, for the broadcast."""
+    index = state.sparkSession.createDataFrame(list(enumerate(features)), "__i int, feature string")
+    keyed = state.join(small_side(index, len(features)), "feature")
+    packed = keyed.groupBy(*[q(k) for k in keys]).agg(
+        *[F.map_from_entries(F.collect_list(F.struct(F.col("__i"), q(col)))).alias(f"__map_{name}") for name, col in values.items()]
+    )
+    every = F.sequence(F.lit(0), F.lit(len(features) - 1))
+
+    def spread(name: str) -> Column:
+        return F.transform(every, lambda i: F.element_at(F.col(f"__map_{name}"), i)).alias(name)
+
+    arrays = [spread(name) for name in values]
+    return small_side(packed.select(*[q(k) for k in keys], *arrays), rows)
+
+
 def bucket_count(df: DataFrame) -> int:
     """Buckets per group: follows the shuffle width of the session."""
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))

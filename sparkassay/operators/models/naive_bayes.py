@@ -7,8 +7,8 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkassay.functions.columns import q
-from sparkassay.functions.kernels import small_side, to_long
+from sparkassay.functions.columns import q, sql_name
+from sparkassay.functions.kernels import small_side, to_long, vector_state
 
 SMOOTHING = 1e-9  # share of the largest feature variance added to every variance
 
@@ -32,24 +32,23 @@ def fit(train: DataFrame, features: list[str], class_col: str = "class") -> Data
 
 
 def predict(state: DataFrame, df: DataFrame, features: list[str], k: int = 100) -> DataFrame:
-    """Add ``p``, the probability of class 1. The joined state has one row per model index."""
-    picks = []
+    """Add ``p``, the probability of class 1. Each class's state joins as arrays, one row per model index, and
+    the log joint density is one fold over the zipped arrays, whatever the number of features."""
+    sides = []
     for c in (0, 1):
-        own = F.col("class") == c
-        picks.append(F.max(F.when(own, F.col("prior"))).alias(f"__w{c}"))
-        for i, f in enumerate(features):
-            here = own & (F.col("feature") == f)
-            picks.append(F.max(F.when(here, F.col("mean"))).alias(f"__m{c}_{i}"))
-            picks.append(F.max(F.when(here, F.col("var"))).alias(f"__v{c}_{i}"))
-    wide = small_side(state.groupBy("cv").agg(*picks), k)
-    joined = df.join(wide, "cv", "left")
+        own = vector_state(state.where(F.col("class") == c), features, {f"__m{c}": "mean", f"__v{c}": "var"}, ["cv"], k)
+        prior = state.where(F.col("class") == c).groupBy("cv").agg(F.max("prior").alias(f"__w{c}"))
+        sides.append(own.join(small_side(prior, k), "cv"))
+    joined = df.join(sides[0], "cv", "left").join(sides[1], "cv", "left")
+    vector = "array(" + ", ".join(f"CAST({sql_name(f)} AS DOUBLE)" for f in features) + ")"
+    joined = joined.withColumn("__x", F.expr(vector))
 
     def log_joint(c):
-        out = F.log(F.col(f"__w{c}"))
-        for i, f in enumerate(features):
-            var, gap = F.col(f"__v{c}_{i}"), q(f) - F.col(f"__m{c}_{i}")
-            out = out - 0.5 * F.log(F.lit(2.0 * math.pi) * var) - 0.5 * gap * gap / var
-        return out
+        zipped = F.arrays_zip(F.col("__x").alias("x"), F.col(f"__m{c}").alias("m"), F.col(f"__v{c}").alias("v"))
+        return F.aggregate(
+            zipped, F.log(F.col(f"__w{c}")),
+            lambda out, e: out - 0.5 * F.log(F.lit(2.0 * math.pi) * e["v"]) - 0.5 * (e["x"] - e["m"]) * (e["x"] - e["m"]) / e["v"],
+        )
 
     p = (
         F.when(F.col("__w1").isNull(), F.lit(0.0))

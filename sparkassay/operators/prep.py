@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkassay.functions.columns import q
-from sparkassay.functions.kernels import exact_quantiles, fold_versions, small_side, to_long
+from sparkassay.functions.columns import q, sql_name
+from sparkassay.functions.kernels import exact_quantiles, fold_versions, small_side, to_long, vector_state
 from sparkassay.operators.folds import expand_folds, train_rows
 from sparkassay.roles import Roles
 from sparkassay.session import cut_lineage
@@ -49,24 +49,15 @@ def fit_fill(df: DataFrame, kinds: dict[str, list[str]], k: int, approx: bool =
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def _wide(state: DataFrame, features: list[str], values: dict[str, str], k: int | None) -> DataFrame:
-    """State as one row per cv: column ``<prefix><feature number>`` for each value."""
-    picks = [
-        F.max(F.when(F.col("feature") == f, F.col(col))).alias(f"{prefix}{i}")
-        for i, f in enumerate(features)
-        for prefix, col in values.items()
-    ]
-    return small_side(state.groupBy("cv").agg(*picks), k)
-
-
-def _replace(df: DataFrame, joined: DataFrame, new: dict[str, Column]) -> DataFrame:
-    return joined.select(*[new[c].alias(c) if c in new else q(c) for c in df.columns])
+def _replace(df: DataFrame, joined: DataFrame, new: dict[str, str]) -> DataFrame:
+    """The columns of ``df``, those in ``new`` as the SQL given; one call however many features there are."""
+    return joined.selectExpr(*[f"{new[c]} AS {sql_name(c)}" if c in new else sql_name(c) for c in df.columns])
 
 
 def apply_fill(df: DataFrame, fill: DataFrame, features: list[str], k: int = 100) -> DataFrame:
     """Fill missing cells of rows that carry ``cv``. The joined side has one row per model index."""
-    joined = df.join(_wide(fill, features, {"__f": "fill"}, k), "cv", "left")
-    new = {f: F.coalesce(q(f).cast("double"), F.col(f"__f{i}")) for i, f in enumerate(features)}
+    joined = df.join(vector_state(fill, features, {"__f": "fill"}, ["cv"], k), "cv", "left")
+    new = {f: f"coalesce(CAST({sql_name(f)} AS DOUBLE), __f[{i}])" for i, f in enumerate(features)}
     return _replace(df, joined, new)
 
 
@@ -121,15 +112,15 @@ def fit_scaler_prepared(train: DataFrame, features: list[str]) -> DataFrame:
 
 
 def apply_scaler(df: DataFrame, scaler: DataFrame, features: list[str], k: int = 100) -> DataFrame:
-    joined = df.join(_wide(scaler, features, {"__m": "mean", "__s": "scale"}, k), "cv", "left")
-    new = {f: (q(f) - F.col(f"__m{i}")) / F.col(f"__s{i}") for i, f in enumerate(features)}
+    joined = df.join(vector_state(scaler, features, {"__m": "mean", "__s": "scale"}, ["cv"], k), "cv", "left")
+    new = {f: f"({sql_name(f)} - __m[{i}]) / __s[{i}]" for i, f in enumerate(features)}
     return _replace(df, joined, new)
 
 
 def inverse_scale(df: DataFrame, scaler: DataFrame, features: list[str], k: int = 100) -> DataFrame:
     """Scaled values (or cut points) back in original units."""
-    joined = df.join(_wide(scaler, features, {"__m": "mean", "__s": "scale"}, k), "cv", "left")
-    new = {f: q(f) * F.col(f"__s{i}") + F.col(f"__m{i}") for i, f in enumerate(features)}
+    joined = df.join(vector_state(scaler, features, {"__m": "mean", "__s": "scale"}, ["cv"], k), "cv", "left")
+    new = {f: f"{sql_name(f)} * __s[{i}] + __m[{i}]" for i, f in enumerate(features)}
     return _replace(df, joined, new)
 
 
