@@ -13,7 +13,7 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, St
 from sparkassay.llm.tokens import default_vocabulary, encoder
 
 #: Pieces and tokens packed at a time; bins with room stay open for what follows.
-GROUP_PIECES, GROUP_TOKENS, OPEN_BINS = 16_384, 8_000_000, 2_048
+GROUP_PIECES, GROUP_TOKENS, OPEN_BINS = 16_384, 2_000_000, 2_048
 
 
 class Bins:

@@ -16,8 +16,8 @@ import numpy as np
 
 from sparkassay.llm.common import worker_state
 
-#: Pieces remembered per Python worker (about 200 MB); more are encoded again, never skipped.
-REMEMBERED = 1_000_000
+#: Pieces remembered per Python worker (about 60 MB); more are encoded again, never skipped.
+REMEMBERED = 300_000
 
 
 def default_vocabulary() -> str:
