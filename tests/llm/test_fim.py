@@ -71,3 +71,26 @@ def test_clashing_columns_empty_table_and_slices(spark):
     batch = pa.RecordBatch.from_pydict({"text": ["a" * 10, None, "b" * 30, "c"]})
     parts = list(fim.slices(batch, "text", 12))
     assert [p.num_rows for p in parts] == [2, 1, 1] and sum(p.num_rows for p in parts) == 4
+
+
+def test_slices_of_a_batch_give_the_same_outputs():
+    """Slices whose offsets do not start at zero are cut exactly like the whole batch and like plain Python."""
+    import numpy as np
+
+    texts = [None, "", "abc", "é😀 mixed ünïcode", "x" * 5000, "tail text here"] * 7
+    rng = np.random.default_rng(2)
+    sizes = np.array([len(t or "") for t in texts])
+    lo = (rng.random(len(texts)) * (sizes + 1)).astype(np.int64)
+    hi = np.maximum(lo, (rng.random(len(texts)) * (sizes + 1)).astype(np.int64))
+    forms = rng.choice(["plain", "psm", "spm"], len(texts))
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array(texts), pa.array(lo), pa.array(hi), pa.array(forms)], names=["text", "fim_lo", "fim_hi", "fim_form"]
+    )
+    whole = fim.arrange(batch, "text").column("fim_output").to_pylist()
+    cut = [x for part in fim.slices(batch, "text", 6000) for x in fim.arrange(part, "text").column("fim_output").to_pylist()]
+    wanted = []
+    for t, a, b, f in zip(texts, lo, hi, forms):
+        s = t or ""
+        wanted.append(s if f == "plain" else f"<P>{s[:a]}<S>{s[b:]}<M>{s[a:b]}" if f == "psm" else f"<S>{s[b:]}<P>{s[:a]}<M>{s[a:b]}")
+    assert len(list(fim.slices(batch, "text", 6000))) > 3
+    assert whole == cut == wanted
