@@ -20,6 +20,10 @@ from sparkassay.llm.weighted_minhash import near_documents
 from sparkassay.session import cut_lineage
 
 
+#: Packing's memory in the pipeline: token pieces remembered per Python worker and tokens packed at a time.
+PACK_REMEMBERED, PACK_GROUP_TOKENS = 300_000, 2_000_000
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half; the model learns from the labels that are not held out."""
     labels = table(spark, sf_dir, "labels").where(~held_out(F.col("doc_id"), 5))
@@ -70,7 +74,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the mixed documents with their token ids and their place in sequences of at most 1024 tokens."""
-    pieces = best_fit_sequences(docs)
+    # workers of the earlier stages still hold their state: a smaller memory of token pieces and smaller groups
+    pieces = best_fit_sequences(docs, group_tokens=PACK_GROUP_TOKENS, remembered=PACK_REMEMBERED)
     return pieces.withColumn("length", (F.octet_length("ids") / 4).cast("long"))
 
 

@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from sparkassay.llm.tokens import default_vocabulary, encoder
+from sparkassay.llm.tokens import REMEMBERED, default_vocabulary, encoder
 
 #: Pieces and tokens packed at a time; bins with room stay open for what follows.
-GROUP_PIECES, GROUP_TOKENS, OPEN_BINS = 16_384, 2_000_000, 2_048
+GROUP_PIECES, GROUP_TOKENS, OPEN_BINS = 16_384, 8_000_000, 2_048
 
 
 class Bins:
@@ -72,10 +72,14 @@ SCHEMA = StructType([
 def best_fit_sequences(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, end_id: int = 2,
     length: int = 1024, documents: int | None = None, attention: float | None = None,
-    weights: tuple[float, float, float] = (1.0, 0.01, 0.01),
+    weights: tuple[float, float, float] = (1.0, 0.01, 0.01), group_tokens: int = GROUP_TOKENS,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """Pieces of all documents with their token ids, packed into sequences.
 
+    ``group_tokens`` bounds the tokens packed at a time and ``remembered`` the token pieces each Python worker keeps
+    encoded; both trade memory for time and change no result.
+
     Returns ``id_col, piece, start, ids, sequence_id, offset``; ``ids`` are little-endian unsigned 32-bit numbers.
     A document is its ids and ``end_id``. One longer than ``length`` is cut: the first piece takes the remainder, so
     all others are full. A bin holds at most ``length`` tokens, ``documents`` pieces (default: as many as tokens) and
@@ -118,7 +122,7 @@ def best_fit_sequences(
             for at in range(0, batch.num_rows, 1000):
                 some = batch.slice(at, 1000)
                 texts = [text or "" for text in some.column(1).to_pylist()]
-                for owner, ids in zip(some.column(0).to_pylist(), encoder(path).encode(texts)):
+                for owner, ids in zip(some.column(0).to_pylist(), encoder(path, remembered).encode(texts)):
                     ids += end
                     size = len(ids) // 4
                     cuts = [0, *range(size % length or length, size + 1, length)]
@@ -128,7 +132,7 @@ def best_fit_sequences(
                         starts.append(begin)
                         parts.append(ids[4 * begin : 4 * stop])
                     tokens += size
-                if len(parts) >= GROUP_PIECES or tokens >= GROUP_TOKENS:
+                if len(parts) >= GROUP_PIECES or tokens >= group_tokens:
                     yield flush()
                     owners, numbers, starts, parts, tokens = [], [], [], [], 0
         if parts:

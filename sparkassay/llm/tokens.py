@@ -16,8 +16,8 @@ import numpy as np
 
 from sparkassay.llm.common import worker_state
 
-#: Pieces remembered per Python worker (about 60 MB); more are encoded again, never skipped.
-REMEMBERED = 300_000
+#: Pieces remembered per Python worker (about 200 MB); more are encoded again, never skipped.
+REMEMBERED = 1_000_000
 
 
 def default_vocabulary() -> str:
@@ -29,7 +29,8 @@ def default_vocabulary() -> str:
 class Encoder:
     """Texts to little-endian unsigned 32-bit ids, as bytes."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
+        self.remembered = remembered
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -60,7 +61,7 @@ class Encoder:
         for pieces, gap in zip(cut, gaps):
             new.update([pieces[at] for at in gap])
         fresh = self.pieces(list(new))
-        if len(known) < REMEMBERED:
+        if len(known) < self.remembered:
             known.update(fresh)
         out = []
         for text, first, pieces, ids, gap in zip(texts, firsts, cut, found, gaps):
@@ -86,6 +87,6 @@ class Encoder:
         return out
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a vocabulary file."""
-    return worker_state(f"encoder:{path}", lambda: Encoder(path))
+def encoder(path: str, remembered: int = REMEMBERED) -> Encoder:
+    """The worker's encoder for a vocabulary file, remembering at most ``remembered`` pieces."""
+    return worker_state(f"encoder:{path}:{remembered}", lambda: Encoder(path, remembered))
