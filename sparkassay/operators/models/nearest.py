@@ -1,16 +1,17 @@
-"""K nearest neighbours: exact, by metric cells.
-
-Pivots are training rows chosen by a hash of their label (about one in ``CELL_ROWS``, at most ``MAX_PIVOTS`` and at
-most ``PIVOT_BYTES`` of numbers, so what is sent to the tasks has a fixed bound). Each training row belongs to the
-cell of its nearest pivot; a cell keeps its radius (largest distance of a member to the pivot) and its count, one
-small row per cell. For a row to score, the cell table alone gives an upper bound of its kth distance: cells sorted
-by ``d(q, pivot) + radius`` hold at least k rows within the bound where their counts first reach k. By the triangle
-inequality (Minkowski distances with p >= 1 are metrics) no row of a cell with ``d(q, pivot) - radius`` above that
-bound can be among the k nearest, so the row meets only the other cells. Large cells are cut into blocks of at most
-``BLOCK`` rows by a hash of the label, so no task holds more than a block, whatever a cell holds. Every (cell,
-block) returns k candidates per row; the best k over all of them give the vote, ties by label order.
-
-Neither side is collected; only pivots and the cell table (bounded as above) are sent to the tasks.
+"""K nearest neighbours: exact, by cells of a k-d tree.
+
+Training rows chosen by a hash of their label (about one in ``CELL_ROWS``, at most ``MAX_PIVOTS`` and at most
+``PIVOT_BYTES`` of numbers, so what is sent to the tasks has a fixed bound) are halved along their widest feature until
+one or two are left: the leaves are the cells. Every training row falls into one cell, and a cell keeps its count and
+the box around its rows, one small row per cell. A row to score first meets one block of its own cell; the kth
+distance found there bounds its true kth distance. It then meets only the cells whose box is not farther than that
+bound. A row whose own block holds fewer than k rows has no such bound; it meets the cells that the boxes alone cannot
+rule out (``candidate_cells``). Inside a cell the rows are halved again into leaves of ``LEAF`` rows with boxes, and
+the same rule picks the leaves to compare with. Large cells are cut into blocks of at most ``BLOCK`` rows by a hash of
+the label, so no task holds more than a block, whatever a cell holds. Every (cell, block) returns up to k candidates
+per row; the best k over all of them give the vote, ties by label order.
+
+Neither side is collected; only the tree and the cell table (bounded as above) are sent to the tasks.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ CELL_ROWS = 1024  # training rows per cell, on average
 MAX_PIVOTS = 2048
 PIVOT_BYTES = 32 << 20
 BLOCK = 16_384  # rows of one cell compared in one task at most
-SLICE = 64  # rows compared with a block at a time: keeps the work in the processor cache
+LEAF = 128  # rows of a leaf inside a cell, at most (or 2 k)
+SLICE = 64  # rows compared with all cells at a time: keeps the work in the processor cache
+PAIRS = 1 << 22  # a slice of rows times the rows of a block, at most
 
 
 def _distance(a, b, p: int):
@@ -76,6 +79,107 @@ def candidate_cells(x: np.ndarray, pivots: np.ndarray, radius: np.ndarray, count
     return [np.flatnonzero(row) for row in close]
 
 
+def cell_tree(pivots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Feature and cut of every inner node of a full binary tree; node i has the children 2i + 1 and 2i + 2."""
+    depth = max(0, len(pivots).bit_length() - 1)
+    feature, cut = np.zeros(2**depth - 1, int), np.full(2**depth - 1, np.inf)
+    held = {0: pivots}
+    for node in range(2**depth - 1):
+        own = held.pop(node)
+        if len(own):
+            feature[node] = np.argmax(own.std(axis=0))
+            column = np.sort(own[:, feature[node]])
+            steps = np.flatnonzero(column[1:] > column[:-1])  # cuts between distinct values: the one nearest the middle
+            if len(steps):
+                cut[node] = column[steps[np.argmin(np.abs(2 * (steps + 1) - len(column)))]]
+        left = own[:, feature[node]] <= cut[node]
+        held[2 * node + 1], held[2 * node + 2] = own[left], own[~left]
+    return feature, cut
+
+
+def to_cells(x: np.ndarray, feature: np.ndarray, cut: np.ndarray) -> np.ndarray:
+    """The cell of every row."""
+    node = np.zeros(len(x), int)
+    for _ in range((len(feature) + 1).bit_length() - 1):
+        right = x[np.arange(len(x)), feature[node]] > cut[node]
+        node = 2 * node + 1 + right
+    return node - len(feature)
+
+
+def box_gaps(x: np.ndarray, low: np.ndarray, high: np.ndarray, p: int) -> np.ndarray:
+    """Sum of |gap| ** p of every row to every box: no row in a box is nearer."""
+    nearest = np.clip(x[:, None, :], low[None, :, :], high[None, :, :])
+    return _distance(x[:, None, :], nearest, p)
+
+
+def reachable_cells(
+    x: np.ndarray, bound: np.ndarray, low: np.ndarray, high: np.ndarray, count: np.ndarray, k: int, p: int
+) -> list[np.ndarray]:
+    """For each row, the cells whose box is not beyond its bound; without a bound, those the boxes cannot rule out."""
+    out = []
+    centre = (low + high) / 2.0
+    radius = _distance(centre, high, p) ** (1.0 / p) * (1 + 1e-9)
+    for at in range(0, len(x), SLICE):
+        part, limit = x[at : at + SLICE], bound[at : at + SLICE]
+        close = box_gaps(part, low, high, p) <= (limit * (1 + 1e-12))[:, None]
+        cells = [np.flatnonzero(row) for row in close]
+        for i in np.flatnonzero(np.isinf(limit)):
+            cells[i] = candidate_cells(part[i : i + 1], centre, radius, count, k, p)[0]
+        out += cells
+    return out
+
+
+def _matrix(column: pd.Series, width: int) -> np.ndarray:
+    return np.array(column.tolist(), dtype=float).reshape(len(column), width)
+
+
+def _leaves(z: np.ndarray, size: int) -> list[np.ndarray]:
+    """Row numbers of ``z`` halved along the widest feature until no part is above ``size``."""
+    todo, done = [np.arange(len(z))], []
+    while todo:
+        own = todo.pop()
+        if len(own) <= size:
+            done.append(own)
+            continue
+        part = z[own]
+        order = np.argpartition(part[:, np.argmax(part.max(0) - part.min(0))], len(own) // 2)
+        todo += [own[order[: len(own) // 2]], own[order[len(own) // 2 :]]]
+    return done
+
+
+def nearest_rows(x: np.ndarray, z: np.ndarray, bound: np.ndarray, k: int, p: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row of ``x``, row of ``z`` and distance sum of the k nearest rows of ``z`` within each row's bound.
+
+    Ties go to the first rows of ``z``; the result is ordered by row, distance, row of ``z``.
+    """
+    leaves = _leaves(z, max(LEAF, 2 * k))
+    low, high = np.array([z[own].min(0) for own in leaves]), np.array([z[own].max(0) for own in leaves])
+    slices = []
+    step = max(SLICE, PAIRS // max(len(z), 1))
+    for at in range(0, len(x), step):
+        part, limit = x[at : at + step], bound[at : at + step].copy()
+        gaps = box_gaps(part, low, high, p)
+        home = gaps.argmin(axis=1)
+        for leaf, own in enumerate(leaves):  # the kth distance in the nearest leaf bounds the rest
+            rows = np.flatnonzero(home == leaf)
+            if len(rows) and len(own) >= k:
+                d = _distance(part[rows, None, :], z[None, own, :], p)
+                limit[rows] = np.minimum(limit[rows], np.partition(d, k - 1, axis=1)[:, k - 1])
+        close = gaps <= (limit * (1 + 1e-12))[:, None]
+        found = [(np.zeros(0, int), np.zeros(0, int), np.zeros(0))]
+        for leaf, own in enumerate(leaves):
+            rows = np.flatnonzero(close[:, leaf])
+            d = _distance(part[rows, None, :], z[None, own, :], p)
+            i, j = np.nonzero(d <= limit[rows, None])
+            found.append((rows[i], own[j], d[i, j]))
+        row, col, d = (np.concatenate(side) for side in zip(*found))
+        order = np.lexsort((col, d, row))
+        row, col, d = row[order], col[order], d[order]
+        keep = np.arange(len(row)) - np.searchsorted(row, np.arange(len(part)))[row] < k
+        slices.append((at + row[keep], col[keep], d[keep]))
+    return tuple(np.concatenate(side) for side in zip(*slices))
+
+
 def predict(
     train: DataFrame, df: DataFrame, features: list[str], k: int = 5, weights: str = "uniform", p: int = 2,
     inst: str = "inst_id", class_col: str = "class", out: str = "p",
@@ -84,67 +188,81 @@ def predict(
     pivots = choose_pivots(train, features, inst)
     if len(pivots) == 0:  # no training rows: no neighbours, no rows, as an inner join of votes gives
         return df.withColumn(out, F.lit(None).cast("double")).limit(0)
+    width = len(features)
+    feature, cut = cell_tree(pivots)
     right = _vectors(train, features, inst, [q(class_col).cast("double").alias("y")])
+    kind, other = dict(df.dtypes)[inst], dict(train.dtypes)[inst]
 
     def assign(batches):
         for part in batches:
-            x = np.array(part["x"].tolist(), dtype=float).reshape(len(part), len(features))
-            d = to_pivots(x, pivots, p)
-            cell = d.argmin(axis=1) if len(part) else np.zeros(0, int)
-            yield part.assign(cell=cell.astype("int32"), r=d[np.arange(len(part)), cell] if len(part) else 0.0)
+            yield part.assign(cell=to_cells(_matrix(part["x"], width), feature, cut).astype("int32"))
 
-    kind, other = dict(df.dtypes)[inst], dict(train.dtypes)[inst]
-    cells_of = right.mapInPandas(assign, f"id {other}, x array<double>, y double, cell int, r double")
-    table = cells_of.groupBy("cell").agg(F.max("r").alias("radius"), F.count(F.lit(1)).alias("n")).collect()
-    radius, count, blocks = np.zeros(len(pivots)), np.zeros(len(pivots), np.int64), np.ones(len(pivots), np.int64)
-    for row in table:
-        radius[row["cell"]], count[row["cell"]] = row["radius"], row["n"]
-        blocks[row["cell"]] = -(-row["n"] // BLOCK)
+    def boxes(parts):
+        held: dict[int, list] = {}
+        for part in parts:
+            x, cell = _matrix(part["x"], width), part["cell"].to_numpy()
+            for c in np.unique(cell):
+                own = x[cell == c]
+                n, low, high = held.get(c, (0, np.inf, -np.inf))
+                held[c] = (n + len(own), np.minimum(low, own.min(0)), np.maximum(high, own.max(0)))
+        if held:
+            n, low, high = zip(*held.values())
+            yield pd.DataFrame({"cell": list(held), "n": n, "low": low, "high": high})
 
-    def visit(batches):
-        for part in batches:
-            x = np.array(part["x"].tolist(), dtype=float).reshape(len(part), len(features))
-            cells = candidate_cells(x, pivots, radius, count, k, p) if len(part) else []
-            own = np.repeat(np.arange(len(part)), [len(c) for c in cells]).astype(int)
-            cell = np.concatenate(cells).astype("int32") if cells else np.zeros(0, "int32")
-            yield pd.DataFrame({"id": part["id"].to_numpy()[own], "x": part["x"].to_numpy()[own], "cell": cell})
+    def merge(part):
+        low, high = _matrix(part["low"], width).min(0), _matrix(part["high"], width).max(0)
+        return pd.DataFrame({"cell": part["cell"][:1], "n": [part["n"].sum()], "low": [low], "high": [high]})
+
+    cells_of = right.mapInPandas(assign, f"id {other}, x array<double>, y double, cell int")
+    box = "cell int, n long, low array<double>, high array<double>"
+    table = cells_of.select("x", "cell").mapInPandas(boxes, box).groupBy("cell").applyInPandas(merge, box).orderBy("cell").collect()
+    number = np.array([r["cell"] for r in table], dtype="int32")
+    count = np.array([r["n"] for r in table], dtype=np.int64)
+    low = np.array([r["low"] for r in table], dtype=float).reshape(len(table), width)
+    high = np.array([r["high"] for r in table], dtype=float).reshape(len(table), width)
+    blocks = np.ones(len(feature) + 1, np.int64)
+    blocks[number] = -(-count // BLOCK)
 
-    left = _vectors(df, features, inst, []).mapInPandas(visit, f"id {kind}, x array<double>, cell int")
     parts = F.element_at(F.array(*[F.lit(int(b)) for b in blocks]), F.col("cell") + 1)
-    a = left.select("id", "x", "cell", F.explode(F.sequence(F.lit(0), parts - 1)).alias("block"))
     b = cells_of.select(
         F.col("id").alias("id_b"), F.col("x").alias("x_b"), "y", F.col("cell").alias("cell_b"),
         F.pmod(F.xxhash64(F.col("id")), parts).cast("int").alias("block_b"),
     )
 
+    def first_bound(rows, others):
+        """The kth distance of each row in one block of its own cell."""
+        rows = rows[["id", "x"]].assign(bound=np.inf)
+        if len(rows) and len(others) >= k:
+            x, z = _matrix(rows["x"], width), _matrix(others["x_b"], width)
+            row, _, d = nearest_rows(x, z, np.full(len(x), np.inf), k, p)
+            last = np.searchsorted(row, np.arange(len(x)), side="right") - 1
+            rows["bound"] = d[last]
+        return rows
+
+    def visit(batches):
+        for part in batches:
+            x = _matrix(part["x"], width)
+            cells = reachable_cells(x, part["bound"].to_numpy(), low, high, count, k, p)
+            own = np.repeat(np.arange(len(part)), [len(c) for c in cells])
+            cell = number[np.concatenate(cells)] if cells else number[:0]
+            yield part.iloc[own].assign(cell=cell)
+
     def nearest(rows, others):
         if rows.empty or others.empty:
             return pd.DataFrame({"id": [], "d": [], "other": [], "y": []})
         others = others.sort_values("id_b")
-        x, z = np.array(rows["x"].tolist()), np.array(others["x_b"].tolist())
-        label, y = others["id_b"].to_numpy(), others["y"].to_numpy()
-        last = min(k, len(z)) - 1
-        size = (z * z).sum(1)
-        found = []
-        for at in range(0, len(x), SLICE):
-            part = x[at : at + SLICE]
-            if p == 2:  # products find the candidates, with room for rounding; exact sums decide
-                d = size - 2.0 * (part @ z.T)
-                room = 1e-9 * (size.max() + (part * part).sum(1) + 1.0)
-            else:
-                d, room = _distance(part[:, None, :], z[None, :, :], p), np.zeros(len(part))
-            limit = np.partition(d, last, axis=1)[:, last] + room
-            row, col = np.nonzero(d <= limit[:, None])
-            exact = _distance(part[row], z[col], p)
-            order = np.lexsort((col, exact, row))
-            row, col, exact = row[order], col[order], exact[order]
-            first = np.searchsorted(row, np.arange(len(part)))
-            keep = np.arange(len(row)) - first[row] < k
-            found.append(pd.DataFrame({
-                "id": rows["id"].to_numpy()[at + row[keep]], "d": exact[keep], "other": label[col[keep]], "y": y[col[keep]],
-            }))
-        return pd.concat(found, ignore_index=True)
+        x, z = _matrix(rows["x"], width), _matrix(others["x_b"], width)
+        row, col, d = nearest_rows(x, z, rows["bound"].to_numpy(), k, p)
+        return pd.DataFrame({
+            "id": rows["id"].to_numpy()[row], "d": d, "other": others["id_b"].to_numpy()[col], "y": others["y"].to_numpy()[col],
+        })
 
+    home = _vectors(df, features, inst, []).mapInPandas(assign, f"id {kind}, x array<double>, cell int")
+    bounded = home.withColumn("block", F.lit(0)).groupBy("cell", "block").cogroup(
+        b.where(F.col("block_b") == 0).groupBy("cell_b", "block_b")
+    ).applyInPandas(first_bound, f"id {kind}, x array<double>, bound double")
+    left = bounded.mapInPandas(visit, f"id {kind}, x array<double>, bound double, cell int")
+    a = left.select("id", "x", "bound", "cell", F.explode(F.sequence(F.lit(0), parts - 1)).alias("block"))
     found = a.groupBy("cell", "block").cogroup(b.groupBy("cell_b", "block_b")).applyInPandas(
         nearest, f"id {kind}, d double, other {other}, y double"
     )

@@ -82,6 +82,37 @@ def test_cells_cut_the_candidates():
         assert set(cell[best]) <= set(cells)
 
 
+def test_a_known_distance_cuts_the_cells():
+    """Spread rows, where ball bounds reach most cells: the kth distance of one's own cell leaves few; none is lost."""
+    rng = np.random.default_rng(4)
+    train = np.concatenate([rng.integers(0, 4, (6000, 2)), rng.normal(0, 1, (6000, 2))], axis=1)
+    queries = np.concatenate([rng.integers(0, 4, (40, 2)), rng.normal(0, 1, (40, 2))], axis=1)
+    feature, cut = nearest.cell_tree(train[:128])
+    number, cell, count = np.unique(nearest.to_cells(train, feature, cut), return_inverse=True, return_counts=True)
+    assert len(number) > 60 and count.max() < 600
+    low = np.array([train[cell == c].min(0) for c in range(len(number))])
+    high = np.array([train[cell == c].max(0) for c in range(len(number))])
+    bound = np.full(40, np.inf)
+    for i, c in enumerate(nearest.to_cells(queries, feature, cut)):
+        own = train[number[cell] == c]
+        if len(own) >= 5:
+            bound[i] = nearest.nearest_rows(queries[i : i + 1], own, np.array([np.inf]), 5, 2)[2][-1]
+    visited = nearest.reachable_cells(queries, bound, low, high, count, 5, 2)
+    assert sum(map(len, visited)) < 40 * len(number) / 8
+    d = ((queries[:, None] - train[None]) ** 2).sum(2)
+    for i, cells in enumerate(visited):
+        assert set(cell[np.argsort(d[i], kind="stable")[:5]]) <= set(cells)
+
+
+def test_nearest_rows_in_a_block_with_ties():
+    rng = np.random.default_rng(5)
+    z, x = rng.integers(0, 5, (3000, 3)).astype(float), rng.integers(0, 5, (50, 3)).astype(float)
+    row, col, _ = nearest.nearest_rows(x, z, np.full(50, np.inf), 7, 2)
+    for i in range(50):
+        best = np.argsort(((z - x[i]) ** 2).sum(1), kind="stable")[:7]
+        assert list(col[row == i]) == list(best)
+
+
 def test_neighbours_at_distance_zero(spark, train):
     same = nearest.predict(train, train, FEATURES, 3, "distance", 2).collect()
     assert all(r["p"] in (0.0, 1.0) for r in same)
