@@ -30,6 +30,8 @@ from sparkassay.operators.models import naive_bayes, nearest
 from sparkassay.roles import Roles
 from sparkassay.session import cut_lineage
 
+PART_BYTES = 32 << 20  # training rows one task holds in memory, about
+ROW_BYTES = 200  # of a row beside its numbers
 ROW_WISE = ("NB", "LR", "DT", "RF", "GB", "SVM", "ANN")
 
 
@@ -118,6 +120,15 @@ def _weight(train: DataFrame, kind: str | None, class_col: str) -> Column:
     return F.when(q(class_col) == 1, F.lit(float(rows.get(1, 1.0)))).otherwise(F.lit(float(rows.get(0, 1.0))))
 
 
+def _spread(rows: DataFrame, n: int, width: int) -> DataFrame:
+    """Many training rows dealt evenly into parts of ``PART_BYTES``, since an iterative fit keeps its parts in memory
+    and stored files may hold them in a few; few rows stay as they are."""
+    parts = -(-n * (8 * width + ROW_BYTES) // PART_BYTES)
+    if parts <= 4:
+        return rows
+    return rows.repartition(max(parts, rows.sparkSession.sparkContext.defaultParallelism))
+
+
 def _project(df: DataFrame, features: list[str], projection: list) -> DataFrame:
     """Random Fourier features (Rahimi and Recht 2007) of each Arrow batch, as vector ``__x``."""
     if not projection:
@@ -192,8 +203,9 @@ def fit(algorithm: str, train: DataFrame, roles: Roles, features: list[str], par
     if algorithm == "SVM":
         return _fit_svm(rows, roles, features, params, seed)
     assembler = VectorAssembler(inputCols=features, outputCol="__x")
-    n = rows.count() if algorithm == "LR" else 0
-    model = Pipeline(stages=[assembler, _estimator(algorithm, params, roles, n, len(features), seed)]).fit(rows)
+    n = rows.count()
+    estimator = _estimator(algorithm, params, roles, n, len(features), seed)
+    model = Pipeline(stages=[assembler, estimator]).fit(_spread(rows, n, len(features)))
     return Fitted(algorithm, features, params, roles, model=model)
 
 
@@ -203,6 +215,7 @@ def _fit_svm(rows: DataFrame, roles: Roles, features: list[str], params: dict, s
     Probabilities come from a logistic fit on the margin.
     """
     kernel = params.get("kernel", "rbf")
+    degree = params.get("degree", 3)
     projection: list = []
     stages: list = []
     sums = rows.agg(F.count(F.lit(1)).alias("n"), *[F.avg(q(f)).alias(f"m{i}") for i, f in enumerate(features)],
@@ -220,11 +233,13 @@ def _fit_svm(rows: DataFrame, roles: Roles, features: list[str], params: dict, s
     else:
         stages.append(VectorAssembler(inputCols=features, outputCol="__a" if kernel == "poly" else "__x"))
     if kernel == "poly":
-        stages.append(PolynomialExpansion(degree=params.get("degree", 3), inputCol="__a", outputCol="__x"))
+        stages.append(PolynomialExpansion(degree=degree, inputCol="__a", outputCol="__x"))
     stages.append(LinearSVC(
         featuresCol="__x", labelCol=roles.class_col, predictionCol="__prediction", rawPredictionCol="__margin",
         weightCol="__w", regParam=1.0 / (params.get("C", 1.0) * sums["n"]), maxIter=params.get("max_iter", 100),
     ))
+    width = {"rbf": len(projection), "poly": math.comb(len(features) + degree, degree) - 1}.get(kernel, len(features))
+    rows = _spread(rows, sums["n"], width)
     model = Pipeline(stages=stages).fit(_project(rows, features, projection))
     margins = _margin(model.transform(_project(rows, features, projection)).drop("__prediction"))
     platt = LogisticRegression(

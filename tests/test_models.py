@@ -125,6 +125,21 @@ def test_weights(train):
     assert rows[1]["positive"] == pytest.approx(n0 / n1) and rows[0]["positive"] == 1.0
 
 
+@pytest.mark.parametrize("kernel,width", [("linear", 4), ("poly", 14), ("rbf", 64)])
+def test_training_rows_are_dealt_by_their_bytes(train, held, monkeypatch, kernel, width):
+    """One stored part holds all rows: a fit keeps no more than a bounded share of them in one task."""
+    seen = []
+    spread = fm._spread
+    monkeypatch.setattr(fm, "_spread", lambda rows, n, w: seen.append((w, spread(rows, n, w).rdd.getNumPartitions())) or spread(rows, n, w))
+    monkeypatch.setattr(fm, "PART_BYTES", 4000)
+    one, n = train.coalesce(1), train.count()
+    fm.fit("SVM", one, ROLES, FEATURES, {"kernel": kernel, "degree": 2, "max_iter": 2, "n_random": 64})
+    fm.fit("DT", one, ROLES, FEATURES, {"max_depth": 2})
+    assert seen == [(w, -(-n * (8 * w + 200) // 4000)) for w in (width, 4)]
+    monkeypatch.setattr(fm, "PART_BYTES", 32 << 20)
+    assert spread(one, n, width) is one
+
+
 def test_permutation_is_one(spark):
     for n in (1, 2, 7, 100):
         for a, b in permute.partners(n, 3, 1):
