@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sparkassay.operators import evaluate, prep
 from sparkassay.operators.models import fitted as fm
-from sparkassay.operators.models import nearest, permute, spaces, tune
+from sparkassay.operators.models import naive_bayes, nearest, permute, spaces, tune
 from sparkassay.session import scratch_path
 from tests.conftest import FEATURES, KINDS, ROLES
 
@@ -140,6 +140,19 @@ def test_training_rows_are_dealt_by_their_bytes(train, held, monkeypatch, kernel
     assert spread(one, n, width) is one
 
 
+def test_naive_bayes_scores_in_batches(spark):
+    """One pass in Arrow batches, no array function per row; missing cells and classes as before."""
+    state = spark.createDataFrame([
+        (0, 0, "f", 0.0, 1.0, 0.5), (0, 1, "f", 2.0, 1.0, 0.5), (1, 0, "f", 0.0, 1.0, 1.0), (2, 1, "f", 0.0, 1.0, 1.0),
+    ], "cv int, class int, feature string, mean double, var double, prior double")
+    rows = spark.createDataFrame([(0, 1.0), (0, 2.0), (0, None), (1, 5.0), (2, 5.0), (3, 5.0), (None, 5.0)], "cv int, f double")
+    out = naive_bayes.predict(state, rows, ["f"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" in plan and "aggregate(" not in plan
+    got = [r["p"] for r in out.collect()]
+    assert got[:2] == [0.5, pytest.approx(1 / (1 + np.exp(-2.0)))] and got[2:] == [None, 0.0, 1.0, 0.0, 0.0]
+
+
 def test_permutation_is_one(spark):
     for n in (1, 2, 7, 100):
         for a, b in permute.partners(n, 3, 1):
