@@ -4,6 +4,7 @@ import collections
 import hashlib
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -13,7 +14,7 @@ from tokenizers import Tokenizer
 from sparkassay.llm import chaining, mixing, packing, personal, records, toxicity, weighted_minhash
 from sparkassay.llm.shingles import bucket, inverse_frequencies, shingle_hashes
 from sparkassay.llm.tokens import default_vocabulary
-from sparkassay.session import scratch_path
+from sparkassay.session import scratch_path, shared_dir
 from tests.llm.conftest import BASE, TEXTS, prose
 
 ROWS = len(TEXTS) + 2
@@ -277,6 +278,16 @@ def test_passages_whose_seeds_have_scattered_first_places(spark):
     assert got == [(900, " ".join(words)), (950, " ".join(words)), (2000, BASE), (2000, BASE), (2001, BASE)]
 
 
+def test_runs_inside_passages_are_not_written(spark):
+    folder = Path(shared_dir(spark))
+    before = set(folder.glob("runs-*"))
+    rows = [(i, prose(70, 300)) for i in range(6)] + [(i, prose(i, 100)) for i in (20, 21)]
+    found = chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["n_words"]) for r in found) == [(i, 300) for i in range(6)]
+    (written,) = set(folder.glob("runs-*")) - before
+    assert spark.read.schema("open boolean").parquet(str(written)).count() < 300  # of 6 x 281
+
+
 @pytest.mark.parametrize("apply", [
     packing.best_fit_sequences, lambda d: mixing.mix_sources(d).documents, lambda d: personal.find_personal(d).documents,
     weighted_minhash.near_documents, chaining.repeated_passages,
