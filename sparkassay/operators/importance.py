@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkassay.functions.columns import digamma, q
-from sparkassay.functions.kernels import prefix_sum, small_side, to_long, value_totals, with_value_bucket
+from sparkassay.functions.kernels import prefix_sum, small_side, to_long, with_value_bucket
 from sparkassay.session import cut_lineage
 
 BLOCK_ROWS = 50_000
@@ -34,15 +34,15 @@ def mi_discrete(long: DataFrame, class_col: str = "class", keys: list[str] | Non
     return joined.groupBy(*key).agg(F.greatest(score, F.lit(0.0)).alias("score"))
 
 
-def _neighbour_rows(long: DataFrame, class_col: str, keys: list[str], k: int, groups: int | None, block: int) -> DataFrame:
-    """Distinct values per (keys, class) with the k distinct values on either side.
+def _neighbour_rows(counts: DataFrame, class_col: str, keys: list[str], k: int, groups: int | None, block: int) -> DataFrame:
+    """Distinct values per (keys, class), with their number of points ``n``, and the k distinct values on either side.
 
     Values are numbered, cut into blocks of that number, and every block also gets the
     k values next to it, so a window never spans more than one block.
     """
     own = [*keys, class_col]
-    rows = long.select(*[q(c) for c in own], "value")
-    totals = value_totals(rows, own, "value", {"n": F.count(F.lit(1)), "one": F.max(F.lit(1).cast("long"))}, groups)
+    bucketed = with_value_bucket(counts.withColumn("one", F.lit(1).cast("long")), own, "value", groups)
+    totals = prefix_sum(bucketed, own, ["value"], ["n", "one"])
     spot = totals.where(F.col("tot_n") > 1).withColumn("__home", F.floor((F.col("cum_one") - 1) / block))
     near = F.array_distinct(F.array(
         F.col("__home"), F.floor((F.col("cum_one") - 1 - k) / block), F.floor((F.col("cum_one") - 1 + k) / block)
@@ -71,8 +71,11 @@ def mi_knn(
     closer than that are counted by running totals over values and interval ends together.
     """
     keys = keys or ["feature"]
+    own = [*keys, class_col]
     known = long.where(F.col("value").isNotNull())
-    rows = _neighbour_rows(known, class_col, keys, k, None if groups is None else 2 * groups, block)
+    counts = known.groupBy(*[q(c) for c in own], "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = cut_lineage(counts, "counts")  # the copies of the rows are made and read once
+    rows = _neighbour_rows(counts, class_col, keys, k, None if groups is None else 2 * groups, block)
     k_own = F.least(F.lit(k), F.col("tot_n") - 1)
     same = F.struct(
         F.lit(0.0).alias("d"), F.lit("").alias("side"), F.col("value").alias("v"), (F.col("n") - 1).alias("n")
@@ -87,7 +90,6 @@ def mi_knn(
         reached = F.when(hit, step) if reached is None else reached.when(hit, step)
     rows = rows.select(*[q(c) for c in [*keys, class_col]], "value", "n", "tot_n", "k_own", reached.alias("far"))
     rows = cut_lineage(rows, "radius")  # read by rows and by bucket totals below
-    own = [*keys, class_col]
     r, x, v = F.col("far.d"), F.col("value"), F.col("far.v")
     low = F.when(F.col("far.side") == "l", v).otherwise(x - r)
     high = F.when(F.col("far.side") == "r", v).otherwise(x + r)
@@ -104,7 +106,7 @@ def mi_knn(
         event(high, F.when(flat, F.lit(2)).otherwise(F.lit(0)), zero, 1),
     )
     lines = rows.select(*[q(c) for c in own], x.alias("value"), "n", "tot_n", "k_own", F.inline(events))
-    bucketed = with_value_bucket(lines, keys, "at", groups, limits_from=known.select(*[q(c) for c in keys], F.col("value").alias("at")))
+    bucketed = with_value_bucket(lines, keys, "at", groups, limits_from=counts.select(*[q(c) for c in keys], F.col("value").alias("at")))
     counted = prefix_sum(bucketed, keys, ["at", "kind"], ["n_points"])
     within = counted.where(F.col("sign") != 0).groupBy(*[q(c) for c in own], "value", "n", "tot_n", "k_own").agg(
         F.sum(F.col("sign") * F.col("cum_n_points")).alias("m")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkassay.functions.columns import digamma
+from sparkassay.functions.kernels import to_long
 from sparkassay.operators import importance, selection
 from tests.conftest import FEATURES, KINDS
 
@@ -126,3 +127,16 @@ def test_selection(spark):
     counts = selection.informative_counts(scores.where("algorithm = 'mi'")).first()
     assert (counts["informative"], counts["uninformative"]) == (3, 1)
     assert selection.selected_lists(selection.cap_features(scores, 3), ["d", "c", "b", "a"]) == {0: ["c", "b", "a"]}
+
+
+def test_rows_are_read_once_for_the_neighbour_score(spark, table):
+    seen = spark.sparkContext.accumulator(0)
+
+    def passed(value):
+        seen.add(1)
+        return value
+
+    value = F.udf(passed, "double").asNondeterministic()
+    long = to_long(table, ["class"], ["a", "b"]).withColumn("value", value("value"))
+    assert {r["feature"] for r in importance.mi_knn(long, groups=2).collect()} == {"a", "b"}
+    assert seen.value == 2 * table.count()
