@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkassay.llm.common import small_batches
 from sparkassay.llm.shingles import STEP, mix, word_hashes
 from sparkassay.session import cut_lineage
 
@@ -279,6 +280,7 @@ def outside(at: np.ndarray, long: int, begins: np.ndarray | None, ends: np.ndarr
     return (nth < 0) | (at + long > ends[nth])
 
 
+@small_batches
 def repeated_passages(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, window: int = 12,
     more_than: int = 50, least_chain: int = 20, gap: float = 0.1, reach: int = 64, identity: float = 0.8,
@@ -299,7 +301,8 @@ def repeated_passages(
     first place of the whole run, or to its last one from inside the first document; runs that continue each other are
     one chain. Of the runs inside passages only those that hold seeds of such runs are looked at, as only they can equal one. As each such run is a chain of its own, every word of an exact repeat is found, whatever its seeds met.
 
-    Texts are shuffled for documents with chains only. Null and empty texts have no passages, null ids take no part,
+    Texts are shuffled for documents with chains only. Rows with texts and words go to Python in batches of about 4 MB; the
+    passages are written to the shared folder, as all stages before them. Null and empty texts have no passages, null ids take no part,
     of rows that repeat an id the smallest text counts, repeats inside one document do not, an empty table gives no
     rows. Other columns are not read.
     """
@@ -486,6 +489,6 @@ def repeated_passages(
 
     located_as = "id long, start long, end long, from int, to int, with_id long, identity double"
     out = passages.drop("passage").join(used.drop("chained"), "id").mapInPandas(located, located_as)
-    return out.select(
+    return cut_lineage(out.select(
         F.col("id").alias(id_col), "start", "end", (F.col("to") - F.col("from")).cast("long").alias("n_words"), "with_id", "identity"
-    )
+    ), "located")

@@ -288,6 +288,27 @@ def test_runs_inside_passages_are_not_written(spark):
     assert spark.read.schema("open boolean").parquet(str(written)).count() < 300  # of 6 x 281
 
 
+def test_wide_rows_of_passages_go_to_python_in_small_batches(spark, monkeypatch):
+    def sizes(batches):
+        for batch in batches:
+            yield batch.assign(bytes=int(batch["text"].str.len().sum()))[["bytes"]]
+
+    limits, write = [], chaining.cut_lineage
+
+    def written(df, name="stage"):
+        wide = spark.range(0, 400, 1, 1).select(F.repeat(F.lit("abcde"), 10_000).alias("text"))
+        limits.append((name, wide.mapInPandas(sizes, "bytes long").agg(F.max("bytes")).first()[0]))
+        return write(df, name)
+
+    monkeypatch.setattr(chaining, "cut_lineage", written)
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    rows = [(i, prose(70, 60)) for i in range(2)]
+    found = chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert limits[-1][0] == "located" and max(most for _, most in limits) < 10_000_000  # 20 MB of rows
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+    assert sorted((r["doc_id"], r["n_words"]) for r in found.collect()) == [(0, 60), (1, 60)]
+
+
 @pytest.mark.parametrize("apply", [
     packing.best_fit_sequences, lambda d: mixing.mix_sources(d).documents, lambda d: personal.find_personal(d).documents,
     weighted_minhash.near_documents, chaining.repeated_passages,
