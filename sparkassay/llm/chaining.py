@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from sparkassay.llm.common import small_batches
 from sparkassay.llm.shingles import STEP, mix, word_hashes
-from sparkassay.session import cut_lineage
+from sparkassay.session import cut_lineage, drop_written
 
 #: Scores of aligned words, and how far an extension may fall below its best before it stops.
 MATCH, MISMATCH, DROP = 1, -2, 12
@@ -327,6 +327,7 @@ def repeated_passages(
     )
     first = cut_lineage(first.where("hub < last").drop("last"), "hubs")
     met = cut_lineage(places.drop("first").join(first, "seed").select("seed", "id", "hub", "at", "hub_at"), "met")
+    drop_written(places, first)
     matches = met.where("id > hub").drop("seed").repartition("id").sortWithinPartitions("id", "hub", "at")
 
     def chained_matches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -354,7 +355,7 @@ def repeated_passages(
                 sizes = [int(max(at)) + width + window - 1 for at in batch["shared"]]
                 yield batch[[len(wanted_runs(at, size, width, window, long)) > 0 for at, size in zip(batch["shared"], sizes)]]
 
-    met = met.select("seed", "id", "at")
+    met_written, met = met, met.select("seed", "id", "at")
     shared = met.groupBy("id").agg(F.collect_list("at").alias("shared"), F.collect_list("seed").alias("seeds"))
     shared = cut_lineage(shared.mapInPandas(dense, "id long, shared array<int>, seeds array<long>"), "shared")
     in_chains = chained.select("id").unionAll(chained.select("hub")).select("id", F.lit(True).alias("chained"))
@@ -462,6 +463,7 @@ def repeated_passages(
     wanted = wanted.mapInPandas(dense, "id long, shared array<int>")
     runs = used.join(wanted, "id").join(spans, "id", "left").select("id", "text", "shared", "begins", "ends")
     runs = cut_lineage(runs.mapInPandas(find_runs, "run long, id long, at int, open boolean"), "runs")
+    drop_written(met_written, shared, spans)
     ends = runs.groupBy("run").agg(
         F.min(F.struct("id", "at")).alias("first"), F.max(F.struct("id", "at")).alias("last"), F.max("open").alias("any")
     ).where(F.col("any") & (F.col("first.id") < F.col("last.id"))).drop("any")

@@ -48,3 +48,18 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_written(*tables: DataFrame) -> None:
+    """Delete what ``cut_lineage`` wrote of tables that are not read again; files outside the shared folder are an error."""
+    for df in tables:
+        spark = df.sparkSession
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        shared = jvm.org.apache.hadoop.fs.Path(shared_dir(spark))
+        shared = shared.getFileSystem(conf).makeQualified(shared)
+        for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder))
+            fs = path.getFileSystem(conf)
+            if fs.makeQualified(path).getParent().toString() != shared.toString():
+                raise ValueError(f"{folder} was not written by cut_lineage")
+            fs.delete(path, True)

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from sparkassay.llm import chaining, mixing, packing, personal, records, toxicity, weighted_minhash
 from sparkassay.llm.shingles import bucket, inverse_frequencies, shingle_hashes
 from sparkassay.llm.tokens import default_vocabulary
-from sparkassay.session import scratch_path, shared_dir
+from sparkassay.session import drop_written, scratch_path, shared_dir
 from tests.llm.conftest import BASE, TEXTS, prose
 
 ROWS = len(TEXTS) + 2
@@ -309,6 +309,23 @@ def test_wide_rows_of_passages_go_to_python_in_small_batches(spark, monkeypatch)
     assert sorted((r["doc_id"], r["n_words"]) for r in found.collect()) == [(0, 60), (1, 60)]
 
 
+def test_tables_of_passages_go_after_their_last_use(spark):
+    folder = Path(shared_dir(spark))
+    before = set(folder.iterdir())
+    rows = [(i, prose(70, 300)) for i in range(3)] + [(i, prose(i, 100)) for i in (20, 21)]
+    found = chaining.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = {path.name.rpartition("-")[0] for path in set(folder.iterdir()) - before}
+    assert "texts" in left and not left & {"seeds", "hubs", "met", "shared", "spans"}
+    assert sorted((r["doc_id"], r["n_words"]) for r in found.collect()) == [(i, 300) for i in range(3)]
+
+
+def test_only_written_tables_are_deleted(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "own"))
+    with pytest.raises(ValueError, match="cut_lineage"):
+        drop_written(spark.read.parquet(str(tmp_path / "own")))
+    assert spark.read.parquet(str(tmp_path / "own")).count() == 3
+
+
 @pytest.mark.parametrize("apply", [
     packing.best_fit_sequences, lambda d: mixing.mix_sources(d).documents, lambda d: personal.find_personal(d).documents,
     weighted_minhash.near_documents, chaining.repeated_passages,
