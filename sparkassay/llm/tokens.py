@@ -2,7 +2,8 @@
 
 A byte-level BPE vocabulary splits a text into words before it merges, and a space opens a new word unless white
 space stands on both sides of it. Texts are therefore cut at spaces, each distinct piece is encoded once per Python
-worker and the ids are put together. Texts where the cut could differ (white space around a space, the strings of
+worker and the ids are put together. A new piece that opens with Latin letters is cut once more behind them, as
+letters never join what follows them, so a word is encoded once whatever stands after it. Texts where the cut could differ (white space around a space, the strings of
 special tokens) and vocabularies of another kind are encoded whole.
 """
 
@@ -10,14 +11,18 @@ from __future__ import annotations
 
 import json
 import os
-from itertools import chain
+import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from sparkassay.llm.common import worker_state
 
 #: Pieces remembered per Python worker (about 200 MB); more are encoded again, never skipped.
 REMEMBERED = 1_000_000
+#: Latin letters that open a piece, if an ASCII character that is no letter (or nothing) follows.
+HEAD = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+(?=[\\x00-@\\[-`{-\\x7f]|\\Z)")
 
 
 def default_vocabulary() -> str:
@@ -45,6 +50,10 @@ class Encoder:
         )
         self.special = [token["content"] for token in kind.get("added_tokens", [])]
         self.known: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocabulary.values(), default=0) + 1, bool)  # ids of tokens that open with a space
+        self.spaced[[number for token, number in vocabulary.items() if token.startswith("\u0120")]] = True
 
     def whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -53,37 +62,65 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_piece:
             return self.whole(texts)
-        cut = [text.split(" ") for text in texts]
-        firsts = self.whole([pieces[0] for pieces in cut])
-        known, new = self.known, set()
-        found = [list(map(known.get, pieces)) for pieces in cut]
-        gaps = [[at for at, have in enumerate(ids) if have is None] for ids in found]
-        for pieces, gap in zip(cut, gaps):
-            new.update([pieces[at] for at in gap])
-        fresh = self.pieces(list(new))
-        if len(known) < self.remembered:
-            known.update(fresh)
+        cut = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+        words = cut.flatten().dictionary_encode()
+        ids = self.pieces(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        flat, places = np.frombuffer(b"".join(ids), "<u4"), words.indices.to_numpy()
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        ends, bounds = np.cumsum(sizes)[places], cut.offsets.to_numpy()
+        sizes = sizes[places]
+        unsure = sizes == 0
+        unsure[bounds[:-1]] = False
+        unsure = np.diff(np.append(0, np.cumsum(unsure))[bounds]) > 0
+        sizes[bounds[:-1]] = 0  # the first piece of a text follows no space
+        stops = np.cumsum(sizes)
+        all_ids = flat[np.repeat(ends - stops, sizes) + np.arange(sizes.sum())]
+        bounds = np.append(0, stops)[bounds].tolist()
+        firsts = self.whole([text.partition(" ")[0] for text in texts])
         out = []
-        for text, first, pieces, ids, gap in zip(texts, firsts, cut, found, gaps):
-            for at in gap:
-                ids[at] = fresh[pieces[at]]
-            ids[0] = first
-            unsure = False in ids or any(token in text for token in self.special)
-            out.append(self.whole([text])[0] if unsure else b"".join(ids))
+        for text, first, start, stop, odd in zip(texts, firsts, bounds, bounds[1:], unsure.tolist()):
+            if odd or any(token in text for token in self.special):
+                out.append(self.whole([text])[0])
+            else:
+                out.append(first + all_ids[start:stop].tobytes())
         return out
 
-    def pieces(self, pieces: list[str]) -> dict[str, bytes | bool]:
-        """Ids of pieces that follow a space; False where the cut before them may be wrong."""
-        out = {}
+    def pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces that follow a space; none where the cut before them may be wrong."""
+        known, tails = self.known, self.tails
+        found = list(map(known.get, pieces))
+        gaps = [at for at, have in enumerate(found) if have is None]
+        matches = [HEAD.match(pieces[at]) for at in gaps]
+        heads = [match[0] if match else pieces[at] for at, match in zip(gaps, matches)]
+        rests = [pieces[at][len(head) :] for at, head in zip(gaps, heads)]
+        fresh = self.after_space(list({head for head in heads if head not in known}))
+        new = list({rest for rest in rests if rest not in tails})
+        ends = dict(zip(new, self.whole(new)))
+        for at, head, rest in zip(gaps, heads, rests):
+            ids = fresh.get(head)
+            ids = known[head] if ids is None else ids
+            if rest:
+                ids += tails[rest] if rest in tails else ends[rest]
+            found[at] = ids
+        if len(known) + len(tails) < self.remembered:
+            known.update(fresh)
+            known.update((pieces[at], found[at]) for at in gaps)
+            tails.update(ends)
+        return found
+
+    def after_space(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of distinct pieces, put behind a space each; none for those that are empty or open with white space."""
+        out = {piece: b"" for piece in pieces if not piece or piece[0].isspace()}
+        pieces = [piece for piece in pieces if piece not in out]
         for at in range(0, len(pieces), 20_000):
             some = pieces[at : at + 20_000]
-            found = self.tokenizer.encode_batch_fast([f" {piece}" for piece in some], add_special_tokens=False)
-            ids = [one.ids for one in found]
-            flat = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
-            end = 0
-            for piece, one in zip(some, ids):
-                start, end = end, end + 4 * len(one)
-                out[piece] = False if not piece or piece[0].isspace() else flat[start:end]
+            ids = np.frombuffer(self.whole([" " + " ".join(some)])[0], "<u4")
+            starts = np.flatnonzero(self.spaced[ids])
+            if len(starts) == len(some):
+                flat, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+                out.update((piece, flat[start:stop]) for piece, start, stop in zip(some, cuts, cuts[1:]))
+            else:
+                out.update(zip(some, self.whole([f" {piece}" for piece in some])))
         return out
 
 

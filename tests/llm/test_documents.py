@@ -13,7 +13,7 @@ from tokenizers import Tokenizer
 
 from sparkassay.llm import chaining, mixing, packing, personal, records, toxicity, weighted_minhash
 from sparkassay.llm.shingles import bucket, inverse_frequencies, shingle_hashes
-from sparkassay.llm.tokens import default_vocabulary
+from sparkassay.llm.tokens import Encoder, default_vocabulary
 from sparkassay.session import drop_written, scratch_path, shared_dir
 from tests.llm.conftest import BASE, TEXTS, prose
 
@@ -50,6 +50,32 @@ def test_packing_holds_every_capacity(docs):
         packing.best_fit_sequences(docs, attention=10.0)
 
 
+def test_words_are_encoded_once_whatever_follows_them():
+    class Counting:
+        def __init__(self, tokenizer):
+            self.tokenizer, self.seen = tokenizer, collections.Counter()
+
+        def encode_batch_fast(self, texts, **options):
+            self.seen.update(word for text in texts for word in re.findall("[a-z]+", text))
+            return self.tokenizer.encode_batch_fast(texts, **options)
+
+    encoder = Encoder(default_vocabulary())
+    counting = encoder.tokenizer = Counting(encoder.tokenizer)
+    encoder.encode(["First " + " ".join(f"word{end} other" for end in (".", ",", "!", "\n", "'s", "-", "_", "?!", ""))])
+    assert counting.seen["word"] == counting.seen["other"] == 1
+
+
+def test_ids_of_pieces_equal_whole_texts():
+    letters = ["a", "Bc", "é", "ɏ", "ɐ", "ª", "²", "Ω", "中", "5", "'s", "'", ".", "\n", "\t", "\x1c", "_", "×", "<|endoftext|>", " "]
+    texts = [" ".join(a + b + c for c in letters) for a in letters for b in letters]
+    for remembered in (10**6, 3):
+        encoder = Encoder(default_vocabulary(), remembered)
+        for _ in range(2):
+            assert encoder.encode(texts) == encoder.whole(texts)
+        each = [f"{a}{b} {c}{d}" for a, b, c, d in zip(letters * 19, letters[3:] * 23, letters[5:] * 25, letters[7:] * 29)]
+        assert encoder.encode(each) == encoder.whole(each)
+
+
 def test_records_round_trip(spark, docs):
     folder = scratch_path(spark, "records")
     shards = records.write_records(docs, folder)
