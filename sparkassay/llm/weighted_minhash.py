@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +17,8 @@ from sparkassay.session import cut_lineage
 
 #: Draws of the sampler's random numbers; a shingle's hash chooses one per sample.
 DRAWS_BITS = 16
+#: Shingles weighed at a time.
+BLOCK = 1024
 #: Members of a bucket that one task compares with each other or with another such part.
 PART = 1024
 
@@ -30,22 +33,31 @@ class Sampler:
         self.log_c = np.log(rng.gamma(2.0, 1.0, size))
         self.shift = rng.random(size)
         self.factors = rng.integers(1, 2**63, samples, np.uint64) * np.uint64(2) + np.uint64(1)
+        self.buffers = np.empty((4, samples * BLOCK))
 
     def sample(self, hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
         """A 64-bit name of the chosen shingle and weight level for each sample."""
         best, names = np.full(len(self.factors), np.inf), np.zeros(len(self.factors), np.uint64)
         rows = np.arange(len(self.factors))
-        for at in range(0, len(hashes), 4096):
-            some, log_w = hashes[at : at + 4096], np.log(weights[at : at + 4096])
-            draw = (some[None, :] * self.factors[:, None]) >> np.uint64(64 - DRAWS_BITS)
-            rate, shift = self.rate[draw], self.shift[draw]
-            level = np.floor(log_w / rate + shift)
-            value = self.log_c[draw] - rate * (level - shift + 1.0)
+        for at in range(0, len(hashes), BLOCK):
+            some, log_w = hashes[at : at + BLOCK], np.log(weights[at : at + BLOCK])
+            # the same four blocks of memory again and again, which stay in the processor's cache
+            one, rate, shift, level = self.buffers[:, : len(rows) * len(some)].reshape(4, len(rows), len(some))
+            draw = np.multiply(self.factors[:, None], some, out=one.view(np.uint64))
+            draw >>= np.uint64(64 - DRAWS_BITS)
+            draw = draw.view(np.int64)  # below 2^DRAWS_BITS, so "wrap" only spares a check
+            self.rate.take(draw, out=rate, mode="wrap")
+            self.shift.take(draw, out=shift, mode="wrap")
+            np.floor(np.add(np.divide(log_w, rate, out=level), shift, out=level), out=level)
+            value = np.subtract(level, shift, out=shift)
+            value += 1.0
+            value *= rate
+            np.subtract(self.log_c.take(draw, out=rate, mode="wrap"), value, out=value)
             least = value.argmin(axis=1)
-            better = value[rows, least] < best
-            best = np.where(better, value[rows, least], best)
+            found = value[rows, least]
             chosen = mix(some[least] ^ (level[rows, least].astype(np.int64).astype(np.uint64) * np.uint64(MIX_A)))
-            names = np.where(better, chosen, names)
+            names = np.where(found < best, chosen, names)
+            best = np.minimum(found, best)
         return names
 
 
@@ -68,15 +80,23 @@ def with_weights(packed: bytes, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return names, counts * idf[bucket(names.astype(np.uint64) << np.uint64(32))]
 
 
-def verify(group: pd.DataFrame, idf: np.ndarray, similarity: float) -> pd.DataFrame:
-    """Links that join the members of one part of a bucket, or of two parts; none that follows from others."""
-    group = group.sort_values("id", ignore_index=True)
-    sketch = np.stack([np.frombuffer(one, "<u4") for one in group["sketch"]])
-    same = group["part_a"].iloc[0] == group["part_b"].iloc[0]
-    part, samples = group["part"].to_numpy(), sketch.shape[1]
-    agree = np.zeros((len(group), len(group)), np.uint16)
+def agreements(sketch: np.ndarray) -> np.ndarray:
+    """In how many samples each two of the rows agree."""
+    if sketch.size * len(sketch) <= 1 << 16:
+        return (sketch[:, None] == sketch[None]).sum(axis=2, dtype=np.uint16)
+    agree = np.zeros((len(sketch), len(sketch)), np.uint16)
     for column in sketch.T:
         agree += column[:, None] == column[None, :]
+    return agree
+
+
+def verify(group: pa.Table, idf: np.ndarray, similarity: float) -> pa.Table:
+    """Links that join the members of one part of a bucket, or of two parts; none that follows from others."""
+    by_id = np.argsort(group["id"].to_numpy(), kind="stable")
+    sketch = np.frombuffer(b"".join(group["sketch"].to_pylist()), "<u4").reshape(len(group), -1)[by_id]
+    same = group["part_a"][0] == group["part_b"][0]
+    part, samples = group["part"].to_numpy()[by_id], sketch.shape[1]
+    agree = agreements(sketch)
     # the estimate lies over five standard deviations above this for a pair at the threshold
     slack = 5.0 * np.sqrt(similarity * (1 - similarity) / samples)
     able = np.triu(agree >= (similarity - slack) * samples, 1)
@@ -93,18 +113,19 @@ def verify(group: pd.DataFrame, idf: np.ndarray, similarity: float) -> pd.DataFr
             x = root[x]
         return x
 
-    ids, packed, out = group["id"].to_numpy(), group["shingles"].to_numpy(), []
+    ids, packed, out = group["id"].to_numpy()[by_id], group["shingles"], []
     for x, y in zip(left[order].tolist(), right[order].tolist()):
         a, b = find(x), find(y)
         if a == b:
             continue
         for at in (x, y):
             if sets[at] is None:
-                sets[at] = with_weights(packed[at], idf)
+                sets[at] = with_weights(packed[int(by_id[at])].as_py(), idf)
         if weighted_jaccard(sets[x], sets[y]) >= similarity:
             root[max(a, b)] = min(a, b)
             out.append((ids[x], ids[y]))
-    return pd.DataFrame(out, columns=["a", "b"])
+    ends = np.array(out, np.int64).reshape(-1, 2)
+    return pa.table({"a": ends[:, 0], "b": ends[:, 1]})
 
 
 def near_documents(
@@ -184,7 +205,7 @@ def near_documents(
         "id", "sketch", "shingles", "bucket.band", "bucket.key", "bucket.part",
         F.least("bucket.part", "other").alias("part_a"), F.greatest("bucket.part", "other").alias("part_b"),
     )
-    links = members.groupBy("band", "key", "part_a", "part_b").applyInPandas(
+    links = members.groupBy("band", "key", "part_a", "part_b").applyInArrow(
         lambda group: verify(group, shared.value, similarity), "a long, b long"
     )
     classes = components(cut_lineage(links, "links"))

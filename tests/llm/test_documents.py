@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import re
+import tracemalloc
 import zlib
 from pathlib import Path
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from sparkassay.llm import chaining, mixing, packing, personal, records, toxicity, weighted_minhash
-from sparkassay.llm.shingles import bucket, inverse_frequencies, shingle_hashes
+from sparkassay.llm.shingles import MIX_A, bucket, inverse_frequencies, mix, shingle_hashes
 from sparkassay.llm.tokens import Encoder, default_vocabulary
 from sparkassay.session import drop_written, scratch_path, shared_dir
 from tests.llm.conftest import BASE, TEXTS, prose
@@ -239,6 +240,24 @@ def test_near_documents_match_all_pairs(spark):
     assert [got[i] for i, _ in rows] == plain_classes(rows)
 
 
+def test_samples_are_plain_ones_drawn_in_little_memory():
+    rng = np.random.default_rng(4)
+    hashes = np.unique(rng.integers(0, 2**63, 5000, np.uint64) * np.uint64(2))
+    weights = rng.random(len(hashes)) * 9 + 0.1
+    sampler = weighted_minhash.Sampler(40, 5)
+    draw = (hashes[None, :] * sampler.factors[:, None]) >> np.uint64(64 - weighted_minhash.DRAWS_BITS)
+    level = np.floor(np.log(weights) / sampler.rate[draw] + sampler.shift[draw])
+    least = (sampler.log_c[draw] - sampler.rate[draw] * (level - sampler.shift[draw] + 1.0)).argmin(axis=1)
+    level = level[np.arange(40), least].astype(np.int64).astype(np.uint64)
+    wanted = mix(hashes[least] ^ (level * np.uint64(MIX_A)))
+    tracemalloc.start()
+    got = sampler.sample(hashes, weights)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(got, wanted)
+    assert peak < 1_000_000  # blocks of 40 x 4096 numbers took 1.3 MB each
+
+
 def test_large_buckets_are_compared_in_parts(spark, monkeypatch):
     monkeypatch.setattr(weighted_minhash, "PART", 4)
     words = prose(3, 200).split()
