@@ -71,18 +71,19 @@ class Encoder:
         sizes = sizes[places]
         unsure = sizes == 0
         unsure[bounds[:-1]] = False
-        unsure = np.diff(np.append(0, np.cumsum(unsure))[bounds]) > 0
+        unsure = np.logical_or.reduceat(unsure, bounds[:-1]).tolist()
         sizes[bounds[:-1]] = 0  # the first piece of a text follows no space
         stops = np.cumsum(sizes)
-        all_ids = flat[np.repeat(ends - stops, sizes) + np.arange(sizes.sum())]
-        bounds = np.append(0, stops)[bounds].tolist()
+        shifts, stops, bounds = ends - stops, np.append(0, stops)[bounds].tolist(), bounds.tolist()
         firsts = self.whole([text.partition(" ")[0] for text in texts])
         out = []
-        for text, first, start, stop, odd in zip(texts, firsts, bounds, bounds[1:], unsure.tolist()):
-            if odd or any(token in text for token in self.special):
+        for at, (text, first) in enumerate(zip(texts, firsts)):
+            if unsure[at] or any(token in text for token in self.special):
                 out.append(self.whole([text])[0])
             else:
-                out.append(first + all_ids[start:stop].tobytes())
+                own = slice(bounds[at], bounds[at + 1])
+                from_flat = np.repeat(shifts[own], sizes[own]) + np.arange(stops[at], stops[at + 1])
+                out.append(first + flat[from_flat].tobytes())
         return out
 
     def pieces(self, pieces: list[str]) -> list[bytes]:
@@ -90,8 +91,7 @@ class Encoder:
         known, tails = self.known, self.tails
         found = list(map(known.get, pieces))
         gaps = [at for at, have in enumerate(found) if have is None]
-        matches = [HEAD.match(pieces[at]) for at in gaps]
-        heads = [match[0] if match else pieces[at] for at, match in zip(gaps, matches)]
+        heads = [match[0] if (match := HEAD.match(pieces[at])) else pieces[at] for at in gaps]
         rests = [pieces[at][len(head) :] for at, head in zip(gaps, heads)]
         fresh = self.after_space(list({head for head in heads if head not in known}))
         new = list({rest for rest in rests if rest not in tails})
@@ -112,8 +112,8 @@ class Encoder:
         """Ids of distinct pieces, put behind a space each; none for those that are empty or open with white space."""
         out = {piece: b"" for piece in pieces if not piece or piece[0].isspace()}
         pieces = [piece for piece in pieces if piece not in out]
-        for at in range(0, len(pieces), 20_000):
-            some = pieces[at : at + 20_000]
+        for at in range(0, len(pieces), 2_000):
+            some = pieces[at : at + 2_000]
             ids = np.frombuffer(self.whole([" " + " ".join(some)])[0], "<u4")
             starts = np.flatnonzero(self.spaced[ids])
             if len(starts) == len(some):
